@@ -1,0 +1,35 @@
+"""Joining a large frame to a lookup table."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A lookup of at most this many rows is sent to every executor.
+BROADCAST_ROWS = 1_000_000
+SALTS = 16
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; reads no more than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    how: str,
+    salt: Column,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join on equal keys: broadcast a lookup of checked size, else shuffle with salt.
+
+    One key may hold a large part of ``df``. In the shuffle form ``salt`` spreads
+    its rows over ``SALTS`` partitions, and each lookup row is sent to all of them.
+    """
+    if fits_broadcast(lookup, max_rows):
+        return df.join(F.broadcast(lookup), on, how)
+    salted = df.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
+    copies = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
