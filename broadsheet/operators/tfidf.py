@@ -20,18 +20,15 @@ def doc_terms(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     Sort the tokens, keep where a run starts; a run ends where the next begins.
     """
     words = tokens.select(id_col, F.sort_array(F.filter("tokens", lambda t: F.length(t) >= 2)).alias("_words"))
+    places = F.transform("_words", lambda _, i: i)
     starts = words.withColumn(
-        "_starts",
-        F.filter(
-            F.transform("_words", lambda t, i: F.struct(t.alias("term"), i.alias("at"))),
-            lambda w: (w["at"] == 0) | (w["term"] != F.get("_words", w["at"] - 1)),
-        ),
+        "_starts", F.filter(places, lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1)))
     )
     runs = F.transform(
         "_starts",
-        lambda w, k: F.struct(
-            w["term"].alias("term"),
-            (F.coalesce(F.get("_starts", k + 1)["at"], F.size("_words")) - w["at"]).cast("bigint").alias("tf"),
+        lambda at, k: F.struct(
+            F.get("_words", at).alias("term"),
+            (F.coalesce(F.get("_starts", k + 1), F.size("_words")) - at).cast("bigint").alias("tf"),
         ),
     )
     return starts.select(id_col, F.inline(runs))

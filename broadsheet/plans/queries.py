@@ -174,22 +174,22 @@ def article_to_json(spark, sf):
 
 @query
 def html_text(spark, sf):
-    return views.table(spark, sf, "pages").select("page_id", text.html_text("html").alias("text"))
+    return views.table(spark, sf, "pages", "page_id").select("page_id", text.html_text("html").alias("text"))
 
 
 @query
 def nfkd_text(spark, sf):
-    return views.table(spark, sf, "documents").select("doc_id", text.nfkd("text").alias("text"))
+    return views.table(spark, sf, "documents", "doc_id").select("doc_id", text.nfkd("text").alias("text"))
 
 
 @query
 def normalize_ws(spark, sf):
-    return views.table(spark, sf, "documents").select("doc_id", text.normalize_ws("text").alias("text"))
+    return views.table(spark, sf, "documents", "doc_id").select("doc_id", text.normalize_ws("text").alias("text"))
 
 
 @query
 def clean_text(spark, sf):
-    return views.table(spark, sf, "pages").select("page_id", text.clean_text("html").alias("text"))
+    return views.table(spark, sf, "pages", "page_id").select("page_id", text.clean_text("html").alias("text"))
 
 
 @query
@@ -199,7 +199,7 @@ def preprocess_articles(spark, sf):
 
 @query
 def preprocess_documents(spark, sf):
-    cleaned = dataset.preprocess_articles(views.v_articles(spark, sf))
+    cleaned = dataset.preprocess_articles(views.v_articles(spark, sf, "doc_id"))
     return cleaned.select("doc_id", "title", "body", "author")
 
 
@@ -249,13 +249,13 @@ def measuring_model():
 
 @query
 def generate_answers(spark, sf):
-    made = prompts.build_prompts(views.v_articles(spark, sf), keep=["doc_id"])
+    made = prompts.build_prompts(views.v_articles(spark, sf, "doc_id"), keep=["doc_id"])
     return answers.generate_answers(made, measuring_model).select("doc_id", "task", "answer")
 
 
 @query
 def analysis_report(spark, sf):
-    reports = answers.analysis_report(views.v_articles(spark, sf), measuring_model, keep=["doc_id"])
+    reports = answers.analysis_report(views.v_articles(spark, sf, "doc_id"), measuring_model, keep=["doc_id"])
     return reports.select("doc_id", "title", "url", F.explode("analysis").alias("task", "answer"))
 
 
@@ -263,7 +263,7 @@ def analysis_report(spark, sf):
 
 
 def _documents(spark, sf) -> DataFrame:
-    return views.table(spark, sf, "documents").select("doc_id", "text")
+    return views.table(spark, sf, "documents", "doc_id").select("doc_id", "text")
 
 
 def _tokens(spark, sf) -> DataFrame:

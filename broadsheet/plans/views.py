@@ -9,20 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.sources.tables import load_dataset
+
 LONG_TITLE = 300
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    return load_dataset(spark, f"{sf_dir}/{name}.parquet", spread_by)
 
 
-def v_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v_articles(spark: SparkSession, sf_dir: str, spread_by: str | None = None) -> DataFrame:
     """One article per document; copies of a text share its url.
 
     Sources with a one-digit number come from the REST source, others from feeds.
     """
     number = F.regexp_extract("source", "[0-9]+", 0).cast("int")
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread_by).select(
         "doc_id",
         "lang",
         F.regexp_extract("text", r"^[^.\n]*", 0).alias("title"),
@@ -42,7 +44,7 @@ def v_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as articles: closed ones have their heading as author, others none."""
     heading = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", "page_id").select(
         "page_id",
         "url",
         F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title"),
