@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import string
-from html.entities import html5
+from html import entities
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -100,7 +100,7 @@ _REFERENCE = re.compile(r"&(?:#([xX][0-9a-fA-F]+|[0-9]+)(?:;|(?=[^0-9a-fA-F;]))|
 def _decode_reference(match: re.Match) -> str:
     number, name = match.groups()
     if name:
-        return html5.get(f"{name};") or html5.get(name) or f"&{name}"
+        return entities.html5.get(f"{name};") or entities.html5.get(name) or f"&{name}"
     code = int(number[1:], 16) if number[0] in "xX" else int(number)
     if code < 256:  # low numbers mean Windows-1252 in practice
         return bytes([code]).decode("cp1252", errors="ignore") or chr(code)

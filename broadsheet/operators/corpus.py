@@ -45,7 +45,10 @@ def lemmatize(df: DataFrame, lemma: DataFrame, id_col: str = "doc_id") -> DataFr
 
     ``id_col`` must be unique: it puts the tokens of a text back together.
     """
-    words = df.select(id_col, F.posexplode("tokens").alias("_pos", "term"))
+    # of an expression, not of the column itself: Spark would push a test of the
+    # column's size to the scan and tokenise there a second time
+    listed = F.filter("tokens", lambda t: t.isNotNull())
+    words = df.select(id_col, F.posexplode(listed).alias("_pos", "term"))
     found = lookup_join(words, lemma.select("term", "lemma"), ["term"], "left", salt=F.col("_pos"))
     base = F.struct(F.col("_pos"), F.coalesce("lemma", "term").alias("term"))
     texts = found.groupBy(id_col).agg(F.array_sort(F.collect_list(base)).alias("_words"))

@@ -59,11 +59,12 @@ def fit_vocab(tokens: DataFrame, k: int = 5000, id_col: str = "doc_id") -> DataF
 
 
 def tfidf(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, term_idx, term, weight), each document's weights of unit length.
+    """(id, term_idx, weight), each document's weights of unit length.
 
     ``vocab`` comes from ``fit_vocab``, which bounds its size, or was saved from it.
     """
     lookup = F.broadcast(vocab.select("term", "term_idx", "idf"))
-    weighted = doc_terms(tokens, id_col).join(lookup, "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    found = doc_terms(tokens, id_col).join(lookup, "term")
+    weighted = found.select(id_col, "term_idx", (F.col("tf") * F.col("idf")).alias("_w"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
-    return weighted.select(id_col, "term_idx", "term", (F.col("_w") / norm).alias("weight"))
+    return weighted.select(id_col, "term_idx", (F.col("_w") / norm).alias("weight"))

@@ -270,7 +270,7 @@ def oracle() -> dict[str, str]:
         "tfidf_vocab": f"WITH {_TOKENS} SELECT term, term_idx, df, tf_total, round(idf, 6) AS idf FROM vocab",
         "tfidf": f"""
             WITH {_TOKENS}
-            SELECT doc_id, term_idx, term,
+            SELECT doc_id, term_idx,
                    round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight
             FROM weighted""",
     }

@@ -256,7 +256,8 @@ def generate_answers(spark, sf):
 @query
 def analysis_report(spark, sf):
     reports = answers.analysis_report(views.v_articles(spark, sf, "doc_id"), measuring_model, keep=["doc_id"])
-    return reports.select("doc_id", "title", "url", F.explode("analysis").alias("task", "answer"))
+    # of the entries, not of the map itself: Spark would build a bare column twice, to test its size
+    return reports.select("doc_id", "title", "url", F.inline(F.map_entries("analysis")).alias("task", "answer"))
 
 
 # -- corpus -------------------------------------------------------------------------
@@ -277,7 +278,7 @@ def labelled_corpus(spark, sf):
 
 @query
 def shuffled_corpus(spark, sf):
-    labelled = views.v_corpus(spark, sf).na.drop(subset=["text", "label"])
+    labelled = sources.labelled_rows(views.v_corpus(spark, sf))
     return dataset.shuffled(labelled, "doc_id").select("doc_id", *_long("row_idx"))
 
 
@@ -296,9 +297,17 @@ def corpus_tokens(spark, sf):
 @query
 def corpus_lemmas(spark, sf):
     """The lemma table maps a word in s to the corpus word it is the plural of."""
-    terms = weights.doc_terms(_tokens(spark, sf)).select("term").distinct()
-    plurals = terms.filter(F.col("term").endswith("s")).withColumn("lemma", F.expr("left(term, length(term) - 1)"))
-    lemma = plurals.join(terms.select(F.col("term").alias("lemma")), "lemma", "left_semi")
+    term = F.col("term")
+    plural = F.when(term.endswith("s"), F.struct(F.expr("left(term, length(term) - 1)").alias("lemma"), F.lit(True).alias("plural")))
+    forms = F.array_compact(F.array(F.struct(term.alias("lemma"), F.lit(False).alias("plural")), plural))
+    lemma = (
+        weights.doc_terms(_tokens(spark, sf))
+        .select(F.inline(forms))
+        .groupBy("lemma")
+        .agg(F.bool_or("plural").alias("has_plural"), F.bool_and("plural").alias("has_plural_only"))
+        .filter("has_plural AND NOT has_plural_only")
+        .select(F.concat("lemma", F.lit("s")).alias("term"), "lemma")
+    )
     lemmas = corpus.lemmatize(_tokens(spark, sf), lemma)
     return lemmas.select("doc_id", corpus.processed_text().alias("text"))
 
@@ -318,4 +327,4 @@ def tfidf_vocab(spark, sf):
 def tfidf(spark, sf):
     tokens = _tokens(spark, sf)
     cells = weights.tfidf(tokens, weights.fit_vocab(tokens))
-    return cells.select("doc_id", *_long("term_idx"), "term", F.round("weight", 6).alias("weight"))
+    return cells.select("doc_id", *_long("term_idx"), F.round("weight", 6).alias("weight"))

@@ -81,7 +81,7 @@ def _gathered(df: DataFrame, keys: list[str], ids: int, item: Column) -> DataFra
     """Items of one key and id range, in id order."""
     items = F.array_sort(F.collect_list(F.struct("doc_id", item.alias("item"))))
     return (
-        df.withColumn("chunk", F.floor(F.col("doc_id") / ids))
+        df.withColumn("chunk", F.expr(f"doc_id div {ids}"))
         .groupBy(*keys, "chunk")
         .agg(F.transform(items, lambda s: s["item"]).alias("items"))
     )

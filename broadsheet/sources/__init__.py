@@ -5,6 +5,7 @@ from broadsheet.sources.newsapi import newsapi_articles, page_capped
 from broadsheet.sources.raw_json import parse_raw_files, scan_raw_articles
 from broadsheet.sources.tables import (
     labelled_corpus,
+    labelled_rows,
     load_dataset,
     load_vocab,
     save_dataset,
@@ -17,6 +18,7 @@ __all__ = [
     "descriptor_frame",
     "enabled_sources",
     "labelled_corpus",
+    "labelled_rows",
     "load_dataset",
     "load_vocab",
     "newsapi_articles",

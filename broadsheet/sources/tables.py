@@ -59,7 +59,18 @@ def labelled_corpus(
         raw = source.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
         text, label = (F.when(~F.col(c).isin(CSV_MISSING), F.col(c)) for c in ("text", "label"))
         source = raw.select(text.alias("text"), label.try_cast(label_type).alias("label"))
-    return source.select("text", "label").na.drop(subset=["text", "label"])
+    return labelled_rows(source).select("text", "label")
+
+
+def labelled_rows(df: DataFrame) -> DataFrame:
+    """Rows with both a text and a label.
+
+    Plain null tests, unlike ``na.drop``, reach the scan and turn an outer join
+    for the label into an inner one.
+    """
+    kept = df.filter(F.col("text").isNotNull() & F.col("label").isNotNull())
+    is_float = df.schema["label"].dataType.typeName() in ("float", "double")
+    return kept.filter(~F.isnan("label")) if is_float else kept
 
 
 def write_corpus(df: DataFrame, path: str) -> None:

@@ -1,0 +1,123 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
+from broadsheet.functions import article_uid, fetched_at_now
+from broadsheet.operators.collect import (
+    collect_union,
+    collection_stats,
+    collection_totals,
+    daily_batch,
+    dedup_url,
+    merge_daily,
+    new_for_day,
+    read_daily,
+    valid_articles,
+    with_ingest_date,
+)
+
+SCHEMA = (
+    "title string, body string, url string, source string, published_at string, author string, "
+    "metadata map<string,string>, fetched_at string, source_ord int, feed_ord int, pos int"
+)
+
+
+def frame(spark, *rows):
+    """Rows of (url, day, source_ord, feed_ord, pos)."""
+    full = [(f"t{i}", f"b{i}", url, f"s{so}", "", "", {}, f"{day}T01:00:00", so, fo, pos) for i, (url, day, so, fo, pos) in enumerate(rows)]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+DAY1, DAY2 = "2024-01-01", "2024-01-02"
+
+
+def test_dedup_keeps_the_first_in_order(spark):
+    rows = [("u", DAY1, 1, 0, 0), ("u", DAY1, 0, 1, 5), ("u", DAY1, 0, 0, 9), ("U", DAY1, 1, 0, 1), ("u/", DAY1, 0, 0, 0)]
+    df = frame(spark, *rows)
+    for parts in (1, 3, 7):
+        kept = dedup_url(df.repartition(parts)).collect()
+        assert sorted((r.url, r.source_ord, r.feed_ord, r.pos) for r in kept) == [("U", 1, 0, 1), ("u", 0, 0, 9), ("u/", 0, 0, 0)]
+
+
+def test_earlier_run_wins(spark):
+    df = frame(spark, ("u", DAY2, 0, 0, 0), ("u", DAY1, 9, 9, 9))
+    assert [r.source_ord for r in dedup_url(df).collect()] == [9]
+
+
+def test_dedup_prunes_before_the_shuffle(spark):
+    plan = dedup_url(frame(spark, ("u", DAY1, 0, 0, 0)))._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning") :]
+    assert "WindowGroupLimit" in below
+
+
+def test_a_hot_url_leaves_one_row_per_task(spark):
+    hot = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("url"), F.col("id").alias("pos")
+    )
+    kept = dedup_url(hot, order=["pos"])
+    assert kept.count() == 40_001
+    assert kept.filter("url = 'hot'").collect()[0].pos == 0
+
+
+def test_valid_keeps_blank_titles(spark):
+    df = spark.createDataFrame([("u", "t"), ("u", " "), ("u", ""), ("u", None), ("", "t"), (None, "t")], "url string, title string")
+    assert [r.title for r in valid_articles(df).collect()] == ["t", " "]
+
+
+def test_counts(spark):
+    df = frame(spark, ("u", DAY1, 0, 0, 0), ("u", DAY1, 0, 0, 1), ("v", DAY1, 0, 0, 2), ("u", DAY1, 1, 0, 0))
+    assert sorted(map(tuple, collection_stats(df).collect())) == [("s0", 3, 2), ("s1", 1, 1)]
+    assert tuple(collection_totals(collect_union(df, df)).collect()[0]) == (8, 2)
+
+
+def test_merge_daily(spark, tmp_path):
+    table = str(tmp_path / "daily")
+    assert read_daily(spark, table).count() == 0
+    first = frame(spark, ("a", DAY1, 0, 0, 0), ("a", DAY1, 1, 0, 0), ("b", DAY1, 0, 0, 1), ("a", DAY2, 0, 0, 0))
+    merge_daily(first, table)
+
+    def stored():
+        return sorted((str(r.ingest_date), r.url, r.title) for r in read_daily(spark, table).collect())
+
+    want = [(DAY1, "a", "t0"), (DAY1, "b", "t2"), (DAY2, "a", "t3")]
+    assert stored() == want
+    merge_daily(first, table)  # a replay
+    assert stored() == want
+    merge_daily(frame(spark, ("b", DAY1, 0, 0, 0), ("c", DAY1, 0, 0, 1)), table)
+    assert stored() == sorted([*want, (DAY1, "c", "t1")])
+    merge_daily(frame(spark), table)
+    assert len(stored()) == 4
+
+
+def test_merge_after_a_half_written_run(spark, tmp_path):
+    """Some rows of a batch were committed before the driver died."""
+    table = str(tmp_path / "daily")
+    batch = frame(spark, *[(f"u{i}", DAY1, 0, 0, i) for i in range(50)])
+    daily_batch(batch).filter("url < 'u3'").write.partitionBy("ingest_date").parquet(table)
+    merge_daily(batch, table)
+    urls = [r.url for r in read_daily(spark, table).collect()]
+    assert len(urls) == 50 == len(set(urls))
+
+
+def test_merge_reads_only_the_days_of_the_batch(spark, tmp_path):
+    table = str(tmp_path / "daily")
+    merge_daily(frame(spark, ("a", DAY1, 0, 0, 0), ("a", DAY2, 0, 0, 0)), table)
+    existing = read_daily(spark, table).filter(F.col("ingest_date") == DAY2)
+    plan = new_for_day(daily_batch(frame(spark, ("z", DAY2, 0, 0, 0))), existing)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert "ReadSchema: struct<url:string>" in plan
+
+
+def test_ingest_date_of_unreadable_time_is_today(spark):
+    df = spark.createDataFrame([("2024-05-06T23:59:59.5",), ("",), (None,)], "fetched_at string")
+    days = [r.ingest_date for r in with_ingest_date(df).collect()]
+    today = spark.sql("SELECT current_date() AS d").collect()[0].d
+    assert str(days[0]) == "2024-05-06" and set(days[1:]) == {today}
+
+
+def test_uid_and_stamp(spark):
+    urls = ["https://x/é?a=1", ""]
+    df = spark.createDataFrame([(u,) for u in urls], "url string").select("url", article_uid("url").alias("uid"))
+    assert all(r.uid == hashlib.sha256(r.url.encode()).hexdigest()[:16] for r in df.collect())
+    stamp = spark.range(1).select(fetched_at_now().alias("t")).collect()[0].t
+    assert len(stamp) in (19, 26) and stamp[10] == "T"

@@ -1,0 +1,182 @@
+import json
+
+from conftest import as_dicts
+
+from broadsheet.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
+from broadsheet.sources import (
+    descriptor_frame,
+    enabled_sources,
+    newsapi_articles,
+    read_landing,
+    rss_articles,
+    scan_raw_articles,
+)
+
+PAYLOAD = "source_key string, fetched_at string, source_ord int, feed_ord int, value string"
+
+
+def payloads(spark, *values, key="k"):
+    return spark.createDataFrame([(key, "2024-01-01T00:00:00", 0, i, v) for i, v in enumerate(values)], PAYLOAD)
+
+
+# -- raw files ------------------------------------------------------------------
+
+
+def article(**changes):
+    whole = {
+        "title": "t", "body": "b", "url": "u", "source": "s", "published_at": "p", "author": "a",
+        "metadata": {"category": "c"}, "fetched_at": "f",
+    }
+    whole.update(changes)
+    return whole
+
+
+def test_raw_files(spark, tmp_path):
+    no_body = article(url="u2")
+    del no_body["body"]
+    files = {
+        "a.json": json.dumps([article(), no_body, article(url="u3", author=None), article(url="u4", extra=1)], indent=2),
+        "b.json": json.dumps([article(), 7, "text", None, '{"url": "quoted"}', [article()]]),
+        "object.json": json.dumps(article()),
+        "torn.json": json.dumps([article()])[:-5],
+        "empty.json": "[]",
+        "other.txt": json.dumps([article()]),
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    articles, rejects = scan_raw_articles(spark, str(tmp_path))
+    rows = {(r["path"].rsplit("/", 1)[1], r["pos"]): r for r in as_dicts(articles)}
+    assert sorted(rows) == [("a.json", 0), ("a.json", 1), ("a.json", 2), ("a.json", 3), ("b.json", 0)]
+    assert rows["a.json", 0] | {"path": 0, "pos": 0} == article(path=0, pos=0)
+    assert rows["a.json", 1]["body"] == ""
+    assert rows["a.json", 2]["author"] is None
+    assert "extra" not in rows["a.json", 3]
+    rejected = sorted((r["path"].rsplit("/", 1)[1], r["pos"]) for r in as_dicts(rejects) if r["pos"] is not None)
+    assert rejected == [("b.json", i) for i in range(1, 6)]
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in as_dicts(rejects) if r["pos"] is None) == ["object.json", "torn.json"]
+
+
+def test_raw_folder_without_json(spark, tmp_path):
+    (tmp_path / "note.txt").write_text("nothing here")
+    articles, _ = scan_raw_articles(spark, str(tmp_path))
+    assert articles.count() == 0
+    assert set(ARTICLE_COLUMNS) <= set(articles.columns)
+
+
+def test_raw_repeated_key_keeps_the_last(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"title": "one", "title": "two", "url": "u"}]')
+    articles, _ = scan_raw_articles(spark, str(tmp_path))
+    assert [r["title"] for r in as_dicts(articles)] == ["two"]
+
+
+# -- REST responses ---------------------------------------------------------------
+
+
+def envelope(*items, **fields):
+    return json.dumps({"status": "ok", "articles": list(items), **fields})
+
+
+def test_newsapi_fields(spark):
+    items = [
+        {"url": "1", "title": "a", "content": "c", "description": "d", "source": {"name": "S"}, "publishedAt": "p", "author": "x"},
+        {"url": "2", "title": "b", "content": "", "description": "d", "source": {}},
+        {"url": "3", "title": "c", "source": None, "author": None, "publishedAt": None},
+        {"url": "4", "title": " ", "source": {"name": None}},
+        {"url": "", "title": "d"},
+        {"url": "6", "title": None},
+        {"title": "no url"},
+        5,
+        None,
+    ]
+    rows = {r["url"]: r for r in as_dicts(newsapi_articles(payloads(spark, envelope(*items), key="science")))}
+    assert sorted(rows) == ["1", "2", "3", "4"]
+    assert rows["1"] | {"pos": 0} == {
+        "title": "a", "body": "c", "url": "1", "source": "S", "published_at": "p", "author": "x",
+        "metadata": {"category": "science", "provider": "newsapi"}, "fetched_at": "2024-01-01T00:00:00",
+        "source_ord": 0, "feed_ord": 0, "pos": 0,
+    }
+    assert (rows["2"]["body"], rows["2"]["source"], rows["2"]["author"], rows["2"]["published_at"]) == ("d", "unknown", "", "")
+    assert (rows["3"]["body"], rows["3"]["source"], rows["3"]["author"], rows["3"]["published_at"]) == ("", "unknown", None, None)
+    assert rows["4"]["source"] is None and rows["4"]["title"] == " "
+
+
+def test_newsapi_envelopes(spark):
+    bad = [envelope({"url": "1", "title": "a"}, status="error"), '{"status": "ok"}', '{"status": "ok", "articles": null}', "[1]", "oops", None]
+    assert newsapi_articles(payloads(spark, *bad)).count() == 0
+
+
+def test_newsapi_page_size(spark):
+    many = envelope(*[{"url": str(i), "title": "t"} for i in range(150)])
+    kept = {size: newsapi_articles(payloads(spark, many), size) for size in (None, 20, 500)}
+    assert {size: df.count() for size, df in kept.items()} == {None: 50, 20: 20, 500: 100}
+    assert sorted(int(r.url) for r in kept[20].collect()) == list(range(20))
+
+
+# -- feeds --------------------------------------------------------------------------
+
+RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:content="c" xmlns:dc="d"><channel><title>Feed</title>
+<item><title>a &amp; b</title><link> http://x/1 </link><description>short</description>
+<content:encoded><![CDATA[<p>long</p>]]></content:encoded><dc:creator>me</dc:creator><pubDate>Mon, 01 Jan 2024</pubDate></item>
+<item><title>only summary</title><link>http://x/2</link><description>&lt;b&gt;s&lt;/b&gt;</description><dc:date>2024</dc:date></item>
+<item><title>guid</title><guid>http://x/3</guid></item>
+<item><title>not a link</title><guid isPermaLink="false">http://x/4</guid></item>
+<item><title/><link>http://x/5</link></item>
+<item><link>http://x/6</link></item>
+</channel></rss>"""
+ATOM = """<feed xmlns="http://www.w3.org/2005/Atom">
+<entry><title type="html">t1</title><link rel="self" href="http://s"/><link href="http://y/1"/>
+<content type="html">&lt;p&gt;c&lt;/p&gt;</content><summary>s</summary><updated>u</updated><author><name>N</name></author></entry>
+<entry><title>t2</title><link rel="alternate" href="http://y/2"/><summary>s2</summary><published>p</published><updated>u</updated></entry>
+<entry><title>t3</title><link rel="enclosure" href="http://y/3"/></entry>
+</feed>"""
+RDF = '<rdf:RDF xmlns:rdf="r"><channel><title>R</title></channel><item><title>i</title><link>http://z/1</link></item></rdf:RDF>'
+
+
+def test_feeds(spark):
+    df = rss_articles(payloads(spark, RSS, ATOM, RDF, "<rss><channel><item><title>A", "junk", None, key="http://feed"))
+    rows = {r["url"]: r for r in as_dicts(df)}
+    assert sorted(rows) == ["http://x/1", "http://x/2", "http://x/3", "http://y/1", "http://y/2", "http://z/1"]
+    one = rows["http://x/1"]
+    assert (one["title"], one["body"], one["source"], one["published_at"], one["author"], one["pos"]) == (
+        "a & b", "<p>long</p>", "Feed", "Mon, 01 Jan 2024", "me", 0,
+    )
+    assert one["metadata"] == {"feed_url": "http://feed", "provider": "rss"}
+    assert (rows["http://x/2"]["body"], rows["http://x/2"]["published_at"], rows["http://x/2"]["author"]) == ("<b>s</b>", "2024", "")
+    assert rows["http://x/3"]["body"] == "" and rows["http://x/3"]["pos"] == 2
+    first = rows["http://y/1"]
+    assert (first["body"], first["published_at"], first["author"], first["source"]) == ("<p>c</p>", "u", "N", "http://feed")
+    assert (rows["http://y/2"]["body"], rows["http://y/2"]["published_at"]) == ("s2", "p")
+    assert rows["http://z/1"]["source"] == "R"
+    assert df.columns == [*ARTICLE_SCHEMA.fieldNames(), "source_ord", "feed_ord", "pos"]
+
+
+# -- descriptors ----------------------------------------------------------------------
+
+
+def test_enabled_sources(spark):
+    given = [
+        {"type": "rss", "feeds": ["f1", "f2"]},
+        {"categories": [], "page_size": 500},
+        {"type": "rss", "feeds": ["f3"], "enabled": False},
+        {"type": "scraper", "feeds": ["f4"]},
+    ]
+    keys = [("rss", k) for k in ("f1", "f2", "f3", "f9")] + [("newsapi", k) for k in ("technology", "business", "science")] + [("scraper", "f4")]
+    df = spark.createDataFrame(keys, "source_type string, source_key string")
+    used = enabled_sources(df, descriptor_frame(spark, given))
+    assert sorted((r.source_type, r.source_key, r.source_ord, r.feed_ord, r.page_size) for r in used.collect()) == [
+        ("newsapi", "business", 1, 1, 100),
+        ("newsapi", "technology", 1, 0, 100),
+        ("rss", "f1", 0, 0, 50),
+        ("rss", "f2", 0, 1, 50),
+    ]
+    without_key = enabled_sources(df, descriptor_frame(spark, given), newsapi_key_set=False)
+    assert {r.source_type for r in without_key.collect()} == {"rss"}
+
+
+def test_landing(spark, tmp_path):
+    feed = tmp_path / "source_type=rss" / "source_key=https%3A%2F%2Fx.example%2Frss.xml"
+    feed.mkdir(parents=True)
+    (feed / "1.xml").write_text("line one\nline two")
+    (row,) = read_landing(spark, str(tmp_path)).collect()
+    assert (row.value, row.source_type, row.source_key) == ("line one\nline two", "rss", "https://x.example/rss.xml")
+    assert len(row.fetched_at) in (19, 26) and row.fetched_at[10] == "T"
