@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.fields import article_uid
 
-# Prompt wording, default tasks and body length.
+# Default tasks, body length, and the texts a prompt is made of.
 DEFAULT_TASKS = ("summarize", "sentiment", "impact", "entities")
 MAX_BODY = 2000
 SYSTEM_TEXT = (
@@ -17,32 +18,50 @@ SYSTEM_TEXT = (
     "Analyze the following article and provide a high-quality intelligence report. "
     "Respond ONLY in the requested format."
 )
-INSTRUCTIONS = {
-    "summarize": (
-        "Instruction: Provide a 2-3 sentence technical summary of the key developments in this article. "
-        "Focus on 'the what' and 'the why'.\n"
-        "Summary:\n"
-    ),
-    "sentiment": (
-        "Instruction: Classify the market sentiment of this news.\n"
-        "Options: [Bullish, Bearish, Neutral]\n"
-        "Reasoning: Briefly explain why.\n"
-        "Output format: Sentiment: <Option> | Reasoning: <Explanation>\n"
-    ),
-    "impact": (
-        "Instruction: Assess the potential impact of this news on the relevant industry/market.\n"
-        "Scale: 1 (Minimal) to 10 (Critical)\n"
-        "Output format: Impact Score: <1-10> | Description: <One-sentence justification>\n"
-    ),
-    "entities": (
-        "Instruction: Extract the top 5 key entities (Companies, People, Technologies, or Organizations) "
-        "mentioned in this article.\n"
-        "Format: List them separated by commas.\n"
-        "Entities:\n"
-    ),
+ENVELOPE = "<s>[INST] <<SYS>>\n{system}\n<</SYS>>\n\n{task} [/INST]"
+TASK_TEXTS = {
+    "summarize": """
+Article:
+{title}
+{body}
+
+Instruction: Provide a 2-3 sentence technical summary of the key developments in this article. Focus on 'the what' and 'the why'.
+Summary:
+""",
+    "sentiment": """
+Article:
+{title}
+{body}
+
+Instruction: Classify the market sentiment of this news.
+Options: [Bullish, Bearish, Neutral]
+Reasoning: Briefly explain why.
+Output format: Sentiment: <Option> | Reasoning: <Explanation>
+""",
+    "impact": """
+Article:
+{title}
+{body}
+
+Instruction: Assess the potential impact of this news on the relevant industry/market.
+Scale: 1 (Minimal) to 10 (Critical)
+Output format: Impact Score: <1-10> | Description: <One-sentence justification>
+""",
+    "entities": """
+Article:
+{title}
+{body}
+
+Instruction: Extract the top 5 key entities (Companies, People, Technologies, or Organizations) mentioned in this article.
+Format: List them separated by commas.
+Entities:
+""",
 }
-OPENING = f"<s>[INST] <<SYS>>\n{SYSTEM_TEXT}\n<</SYS>>\n\n\nArticle:\n"
-CLOSING = " [/INST]"
+
+
+def prompt_text(task: str) -> str:
+    """A task's whole prompt with its places for title and body still open."""
+    return ENVELOPE.format(system=SYSTEM_TEXT, task=TASK_TEXTS.get(task, TASK_TEXTS["summarize"]))
 
 
 def task_list(tasks: Sequence[str] | None) -> list[str]:
@@ -57,14 +76,9 @@ def prompt(task: str, title: Column | str = "title", body: Column | str = "body"
     """
     title = F.col(title) if isinstance(title, str) else title
     body = F.col(body) if isinstance(body, str) else body
-    instruction = INSTRUCTIONS.get(task, INSTRUCTIONS["summarize"])
-    return F.concat(
-        F.lit(OPENING),
-        F.coalesce(title, F.lit("None")),
-        F.lit("\n"),
-        F.left(body, F.lit(MAX_BODY)),
-        F.lit(f"\n\n{instruction}{CLOSING}"),
-    )
+    filled = {"title": F.coalesce(title, F.lit("None")), "body": F.left(body, F.lit(MAX_BODY))}
+    pieces = re.split(r"\{(title|body)\}", prompt_text(task))
+    return F.concat(*[filled[p] if i % 2 else F.lit(p) for i, p in enumerate(pieces)])
 
 
 def task_fanout(df: DataFrame, tasks: Sequence[str] | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 from broadsheet.operators.corpus import STOP_WORDS
-from broadsheet.operators.prompts import CLOSING, DEFAULT_TASKS, INSTRUCTIONS, OPENING
+from broadsheet.operators.prompts import DEFAULT_TASKS, prompt_text
 
 
 def _quoted(value: str) -> str:
@@ -133,14 +133,14 @@ _HASHED = "('0x' || substr(md5('42:' || {id}), 1, 8))::BIGINT % 10000 < 1000"
 
 
 def _prompts(select: str) -> str:
+    around = {t: prompt_text(t).split("{title}\n{body}") for t in DEFAULT_TASKS}
     tasks = ", ".join(
-        f"({i}::BIGINT, {_quoted(t)}, {_quoted(f'{chr(10)}{chr(10)}{INSTRUCTIONS[t]}{CLOSING}')})"
-        for i, t in enumerate(DEFAULT_TASKS)
+        f"({i}::BIGINT, {_quoted(t)}, {_quoted(around[t][0])}, {_quoted(around[t][1])})" for i, t in enumerate(DEFAULT_TASKS)
     )
     made = f"""made AS (
       SELECT doc_id, title, url, substr(sha256(url), 1, 16) AS uid, task_ord, task,
-             {_quoted(OPENING)} || title || chr(10) || substr(body, 1, 2000) || tail AS prompt
-      FROM v_articles CROSS JOIN (VALUES {tasks}) AS t(task_ord, task, tail)
+             head || title || chr(10) || substr(body, 1, 2000) || tail AS prompt
+      FROM v_articles CROSS JOIN (VALUES {tasks}) AS t(task_ord, task, head, tail)
     )"""
     return _articles(select, made)
 
@@ -212,7 +212,7 @@ def oracle() -> dict[str, str]:
             FROM events GROUP BY 1, 2""",
         "article_uid": _articles("SELECT doc_id, url, substr(sha256(url), 1, 16) AS uid FROM v_articles"),
         "article_from_json": _articles(
-            f"SELECT doc_id, title, body, url, source, published_at, {_ARTICLE_AUTHOR.format(absent='NULL')}, "
+            f"SELECT doc_id, title, body, url, source, published_at, {_ARTICLE_AUTHOR.format(absent=chr(39) * 2)}, "
             "fetched_at, lang AS category, 'newsapi' AS provider FROM v_articles"
         ),
         "article_to_json": _articles(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet import functions as text
-from broadsheet import schema, sources
+from broadsheet import sources
 from broadsheet.operators import answers, collect, corpus, dataset, prompts
 from broadsheet.operators import tfidf as weights
 from broadsheet.plans import views
@@ -160,7 +160,7 @@ def article_uid(spark, sf):
 @query
 def article_from_json(spark, sf):
     stored = views.v_articles(spark, sf).select("doc_id", views.article_texts().alias("value"))
-    parsed = schema.known_fields(stored, "value")
+    parsed = sources.article_from_json(stored, "value")
     return parsed.select("doc_id", *_FLAT, "fetched_at", *_metadata("category", "provider"))
 
 

@@ -28,9 +28,9 @@ from broadsheet.streaming.collect import collect_batch
 
 def collect(
     spark: SparkSession, landing: str, table: str, descriptors: DataFrame, newsapi_key_set: bool = True
-) -> None:
-    """Everything that has landed, into the daily table."""
-    collect_batch(read_landing(spark, landing), descriptors, table, newsapi_key_set)
+) -> DataFrame:
+    """Everything that has landed, into the daily table; returns the articles, each url once."""
+    return collect_batch(read_landing(spark, landing), descriptors, table, newsapi_key_set)
 
 
 def preprocess(articles: DataFrame, dataset: str) -> bool:

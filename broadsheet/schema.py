@@ -32,10 +32,3 @@ DAILY_SCHEMA = T.StructType(ARTICLE_SCHEMA.fields + [T.StructField("ingest_date"
 def article_columns(df: DataFrame) -> DataFrame:
     """Keep the article fields only, in schema order."""
     return df.select(*ARTICLE_COLUMNS)
-
-
-def known_fields(df: DataFrame, json_col: str) -> DataFrame:
-    """Parse a column of article JSON; keys outside the schema vanish."""
-    return df.withColumn("article", F.from_json(json_col, ARTICLE_SCHEMA)).select(
-        *[c for c in df.columns if c != json_col], "article.*"
-    )

@@ -2,7 +2,7 @@ from broadsheet.sources.descriptors import descriptor_frame, enabled_sources
 from broadsheet.sources.feeds import rss_articles
 from broadsheet.sources.landing import read_landing
 from broadsheet.sources.newsapi import newsapi_articles, page_capped
-from broadsheet.sources.raw_json import parse_raw_files, scan_raw_articles
+from broadsheet.sources.raw_json import article_from_json, parse_raw_files, scan_raw_articles
 from broadsheet.sources.tables import (
     labelled_corpus,
     labelled_rows,
@@ -15,6 +15,7 @@ from broadsheet.sources.tables import (
 )
 
 __all__ = [
+    "article_from_json",
     "descriptor_frame",
     "enabled_sources",
     "labelled_corpus",

@@ -6,10 +6,10 @@ task; after import the articles live in the partitioned Parquet table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.functions.fields import json_field
+from broadsheet.functions.fields import fetched_at_now, json_field
 from broadsheet.schema import ARTICLE_COLUMNS
 
 
@@ -38,15 +38,32 @@ def parse_raw_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     # only an object can be read as a map
     is_object = F.try_variant_get("item", "$", "map<string,variant>").isNotNull()
 
-    item = F.col("item")
-    texts = {name: json_field(item, name, "") for name in ARTICLE_COLUMNS if name != "metadata"}
-    metadata = F.coalesce(F.try_variant_get(item, "$.metadata", "map<string,string>"), F.create_map().cast("map<string,string>"))
-    articles = elements.filter(is_object).select(
-        "path", "pos", *[c.alias(name) for name, c in texts.items()], metadata.alias("metadata")
-    )
+    fields = _article_fields(F.col("item"), {name: "" for name in ARTICLE_COLUMNS})
+    articles = elements.filter(is_object).select("path", "pos", *fields)
 
     bad_files = files.filter(~is_array).select(
         "path", F.lit(None).cast("int").alias("pos"), F.col("value").alias("content")
     )
     bad_items = elements.filter(~is_object).select("path", "pos", F.to_json("item").alias("content"))
-    return articles.select("path", "pos", *ARTICLE_COLUMNS), bad_files.unionByName(bad_items)
+    return articles, bad_files.unionByName(bad_items)
+
+
+def _article_fields(item: Column, absent: dict[str, str | None]) -> list[Column]:
+    """The article fields of a VARIANT object, in schema order; other keys vanish."""
+    empty = F.create_map().cast("map<string,string>")
+    fields = {name: json_field(item, name, absent.get(name)) for name in ARTICLE_COLUMNS}
+    fields["metadata"] = F.coalesce(F.try_variant_get(item, "$.metadata", "map<string,string>"), empty)
+    return [column.alias(name) for name, column in fields.items()]
+
+
+def article_from_json(df: DataFrame, json_col: str) -> DataFrame:
+    """Replace a column of article JSON by the article fields.
+
+    Absent optional fields get the record's defaults, which for the fetch time is
+    now. An absent title, body, url or source is null: such a record is not valid.
+    """
+    fields = _article_fields(F.col("_item"), {"published_at": "", "author": ""})
+    stamped = F.try_variant_get("_item", "$.fetched_at", "variant").isNotNull()
+    fields = [F.when(stamped, c).otherwise(fetched_at_now()).alias(n) if n == "fetched_at" else c for n, c in zip(ARTICLE_COLUMNS, fields)]
+    parsed = df.withColumn("_item", F.try_parse_json(json_col))
+    return parsed.select(*[c for c in df.columns if c != json_col], *fields)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from broadsheet.operators.collect import batch_days, collect_union, merge_daily
+from broadsheet.operators.collect import batch_days, collect_union, dedup_url, merge_daily
 from broadsheet.session import shared_dir
 from broadsheet.sources.descriptors import enabled_sources
 from broadsheet.sources.feeds import rss_articles
@@ -23,10 +23,14 @@ def payload_articles(payloads: DataFrame, descriptors: DataFrame, newsapi_key_se
     )
 
 
-def collect_batch(payloads: DataFrame, descriptors: DataFrame, table: str, newsapi_key_set: bool = True) -> None:
-    """One round of collecting: payloads to articles, merged into the daily table."""
+def collect_batch(payloads: DataFrame, descriptors: DataFrame, table: str, newsapi_key_set: bool = True) -> DataFrame:
+    """One round of collecting: payloads to articles, merged into the daily table.
+
+    Returns the round's articles, each url once; the frame is not computed yet.
+    """
     articles = payload_articles(payloads, descriptors, newsapi_key_set)
     merge_daily(articles, table, batch_days(payloads))
+    return dedup_url(articles)
 
 
 def start_collect(
@@ -44,9 +48,13 @@ def start_collect(
     A round that is replayed after a failure adds nothing twice, because the merge
     leaves out urls the day already has.
     """
+
+    def collect(batch: DataFrame, _: int) -> None:
+        collect_batch(batch, descriptors, table, newsapi_key_set)
+
     return (
         stream_landing(spark, landing, max_files_per_trigger)
-        .writeStream.foreachBatch(lambda batch, _: collect_batch(batch, descriptors, table, newsapi_key_set))
+        .writeStream.foreachBatch(collect)
         .option("checkpointLocation", checkpoint or shared_dir(spark, "collect"))
         .trigger(**(trigger or {"processingTime": "1 hour"}))
         .start()

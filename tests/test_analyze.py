@@ -6,7 +6,7 @@ from conftest import as_dicts
 from pyspark import cloudpickle
 
 from broadsheet.operators.answers import NO_BODY, analysis_report, generate_answers
-from broadsheet.operators.prompts import DEFAULT_TASKS, INSTRUCTIONS, SYSTEM_TEXT, build_prompts, task_fanout
+from broadsheet.operators.prompts import DEFAULT_TASKS, SYSTEM_TEXT, TASK_TEXTS, build_prompts, task_fanout
 from broadsheet.plans import stages
 from broadsheet.sources import save_dataset
 
@@ -15,8 +15,8 @@ ARTICLE = "title string, body string, url string"
 
 
 def py_prompt(task, title, body):
-    instruction = INSTRUCTIONS.get(task, INSTRUCTIONS["summarize"])
-    return f"<s>[INST] <<SYS>>\n{SYSTEM_TEXT}\n<</SYS>>\n\n\nArticle:\n{title}\n{body[:2000]}\n\n{instruction} [/INST]"
+    text = TASK_TEXTS.get(task, TASK_TEXTS["summarize"]).format(title=title, body=body[:2000])
+    return f"<s>[INST] <<SYS>>\n{SYSTEM_TEXT}\n<</SYS>>\n\n{text} [/INST]"
 
 
 BODIES = ["", "short", "{title} %s {0} \\1 $1", "é😀" * 1001, "x" * 2000, "x" * 2001]

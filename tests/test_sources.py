@@ -4,6 +4,7 @@ from conftest import as_dicts
 
 from broadsheet.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
 from broadsheet.sources import (
+    article_from_json,
     descriptor_frame,
     enabled_sources,
     newsapi_articles,
@@ -63,6 +64,19 @@ def test_raw_folder_without_json(spark, tmp_path):
     assert set(ARTICLE_COLUMNS) <= set(articles.columns)
 
 
+def test_article_from_json_defaults(spark):
+    texts = [json.dumps(article(extra=1)), '{"title": "t", "body": "b", "url": "u", "source": "s"}', '{"author": null}', "[]", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    rows = {r["i"]: r for r in as_dicts(article_from_json(df, "value"))}
+    assert rows[0] == {"i": 0, **article()}
+    assert rows[1] | {"fetched_at": ""} == {
+        "i": 1, "title": "t", "body": "b", "url": "u", "source": "s", "published_at": "", "author": "", "metadata": {}, "fetched_at": "",
+    }
+    assert rows[1]["fetched_at"][10] == "T"
+    assert rows[2]["author"] is None and rows[2]["url"] is None
+    assert rows[3]["url"] is None and rows[4]["url"] is None
+
+
 def test_raw_repeated_key_keeps_the_last(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"title": "one", "title": "two", "url": "u"}]')
     articles, _ = scan_raw_articles(spark, str(tmp_path))

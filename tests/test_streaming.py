@@ -66,7 +66,8 @@ def test_batch_stage_collects_the_same(spark, tmp_path):
     landing = tmp_path / "landing"
     land(landing, "rss", "http%3A%2F%2Ff", "1", feed("a", "b"))
     land(landing, "newsapi", "tech", "1", response("b", "c"))
-    stages.collect(spark, str(landing), str(tmp_path / "daily"), descriptor_frame(spark, SOURCES))
+    found = stages.collect(spark, str(landing), str(tmp_path / "daily"), descriptor_frame(spark, SOURCES))
+    assert sorted((r.url, r.title) for r in found.collect()) == [("a", "feed a"), ("b", "feed b"), ("c", "rest c")]
     urls = [u for u, _ in stored(spark, str(tmp_path / "daily"))]
     assert urls == ["a", "b", "c"]
 
