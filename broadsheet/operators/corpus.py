@@ -51,7 +51,7 @@ def lemmatize(df: DataFrame, lemma: DataFrame, id_col: str = "doc_id") -> DataFr
     words = df.select(id_col, F.posexplode(listed).alias("_pos", "term"))
     found = lookup_join(words, lemma.select("term", "lemma"), ["term"], "left", salt=F.col("_pos"))
     base = F.struct(F.col("_pos"), F.coalesce("lemma", "term").alias("term"))
-    texts = found.groupBy(id_col).agg(F.array_sort(F.collect_list(base)).alias("_words"))
+    texts = found.groupBy(id_col).agg(F.sort_array(F.collect_list(base)).alias("_words"))
     kept = df.drop("tokens").join(texts, id_col, "left")
     tokens = F.coalesce(F.transform("_words", lambda w: w["term"]), F.array().cast("array<string>"))
     return kept.withColumn("tokens", tokens).drop("_words")

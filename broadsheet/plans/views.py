@@ -79,7 +79,7 @@ def v_untitled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gathered(df: DataFrame, keys: list[str], ids: int, item: Column) -> DataFrame:
     """Items of one key and id range, in id order."""
-    items = F.array_sort(F.collect_list(F.struct("doc_id", item.alias("item"))))
+    items = F.sort_array(F.collect_list(F.struct("doc_id", item.alias("item"))))
     return (
         df.withColumn("chunk", F.expr(f"doc_id div {ids}"))
         .groupBy(*keys, "chunk")
