@@ -61,6 +61,7 @@ ENTITIES = {
     "hellip": "…",
     "amp": "&",
 }
+_MARK = "\uffff"  # a noncharacter
 _RARE_ENTITY = rf"&(?!(?:{'|'.join(ENTITIES)});)[#a-zA-Z]"
 
 
@@ -87,15 +88,9 @@ def _open_cdata(col: Column) -> Column:
     return _if_has(col, "<![CDATA[", F.regexp_replace(col, r"(?s)<!\[CDATA\[(.*?)\]\]>", "<!>$1<!>"))
 
 
-def strip_markup(col: Column) -> Column:
+def strip_markup(col: Column, mark: str = " ") -> Column:
     """Each run of tags, comments, declarations and non-text blocks becomes a space."""
-    return _if_has(col, "<", F.regexp_replace(_open_cdata(col), f"(?is){MARKUP}", " "))
-
-
-def _between_markup(col: Column) -> Column:
-    """``strip_markup`` without a space at the ends, where there is nothing to part."""
-    inner = F.regexp_replace(_open_cdata(col), rf"(?is)\A{MARKUP}|{MARKUP}\z", "")
-    return _if_has(col, "<", F.regexp_replace(inner, f"(?is){MARKUP}", " "))
+    return _if_has(col, "<", F.regexp_replace(_open_cdata(col), f"(?is){MARKUP}", mark))
 
 
 def _common_entities(col: Column) -> Column:
@@ -153,9 +148,14 @@ def _needs_nfkd(marked: Column, plain: Column) -> Column:
 
 
 def html_text(col: Column | str) -> Column:
-    """Visible text of an HTML fragment with a space between text nodes."""
-    marked = _between_markup(F.coalesce(_col(col), F.lit("")))
-    return F.coalesce(_decode_udf(_needs_decode(marked)), _common_entities(marked))
+    """Visible text of an HTML fragment with one space between two text nodes.
+
+    Markup is marked by a code point no text holds. It parts nodes, and it ends a
+    reference without a semicolon, also where it is last; then the marks go.
+    """
+    marked = strip_markup(F.coalesce(_col(col), F.lit("")), _MARK)
+    decoded = F.coalesce(_decode_udf(_needs_decode(marked)), _common_entities(marked))
+    return F.replace(F.regexp_replace(decoded, rf"\A{_MARK}|{_MARK}\z", ""), F.lit(_MARK), F.lit(" "))
 
 
 # -- unicode and white space ----------------------------------------------

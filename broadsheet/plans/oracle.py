@@ -86,6 +86,8 @@ def _html(sql: str) -> str:
     blocks += [r"""<[a-zA-Z/](?:[^'">]|"[^"]*"|'[^']*')*>""", r"<[!?][^>]*>"]
     for pattern in blocks:  # all markup becomes one kind of mark, then runs of it a space
         sql = f"regexp_replace({sql}, {_quoted(pattern)}, chr(1), 'gis')"
+    # a reference may lack its semicolon where something other than a name goes on
+    sql = f"regexp_replace({sql}, '&(lt|gt|quot|copy|middot|amp)([^;a-zA-Z0-9.-])', '&\\1;\\2', 'g')"
     sql = f"regexp_replace(trim({sql}, chr(1)), chr(1) || '+', ' ', 'g')"
     entities = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&copy;": "©", "&middot;": "·", "&amp;": "&"}
     return _nested_replace(sql, entities)

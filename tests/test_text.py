@@ -118,14 +118,14 @@ def test_clean_columns_equals_clean_text(spark):
 
 
 def test_html_text_keeps_inner_space(spark):
-    cases = {"<b>foo</b>bar": "foo bar", "<p> a </p><p>b</p>": " a  b", "<br>": "", None: "", "x<br><br>y": "x y"}
+    cases = {"<b>foo</b>bar": "foo bar", "<p> a </p><p>b</p>": " a  b", "<br>": "", None: "", "x<br><br>y": "x y", "<p>a&amp</p>": "a&", "a&amp": "a&amp"}
     assert dict(zip(cases, apply(spark, html_text, cases))) == cases
 
 
 def test_pages_equal_a_parser_walk(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
-    rows = pages.select("html", clean_text("html").alias("out")).collect()
-    assert rows and all(r.out == py_clean(r.html) for r in rows)
+    rows = pages.select("html", clean_text("html").alias("clean"), html_text("html").alias("text")).collect()
+    assert rows and all(r.text == walk(r.html) and r.clean == py_clean(r.html) for r in rows)
 
 
 def test_long_markup_does_not_overflow(spark):
