@@ -19,7 +19,9 @@ def interval_counts(df: DataFrame, width: str = "1 hour", ts: str = "fetched_ts"
     )
 
 
-def hourly_collection(df: DataFrame, ts: str = "fetched_ts") -> DataFrame:
+def hourly_collection(df: DataFrame, ts: str = "fetched_ts", width: str = "1 hour") -> DataFrame:
     """The batch form, with exact distinct urls."""
-    hour = F.date_trunc("hour", ts).alias("interval_start")
-    return df.groupBy(hour, "source").agg(F.count("*").alias("n_rows"), F.countDistinct("url").alias("n_unique"))
+    return (
+        df.groupBy(F.window(ts, width)["start"].alias("interval_start"), "source")
+        .agg(F.count("*").alias("n_rows"), F.countDistinct("url").alias("n_unique"))
+    )
