@@ -7,8 +7,10 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from broadsheet.plans.oracle import oracle  # noqa: E402
+from broadsheet.plans.queries import QUERIES  # noqa: E402
 
-QUERIES, SQL = queries(), oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +28,8 @@ def canonical(columns, rows):
 
 def test_every_query_has_a_twin():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= queries().keys() and SQL.keys() <= oracle_sql().keys()
+    assert oracle_sql().keys() <= queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
