@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import simhash
+from broadsheet.llm import decontam, langid, packing, simhash
 from broadsheet.llm.common import table
 
+FOLDS = 5
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def held_out(doc_id: str = "doc_id"):
+    """Whether a document is kept from training; one without an id is neither."""
+    fold = F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS
+    return F.coalesce(fold == 0, F.lit(False))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -16,5 +31,30 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup,)}
+def op3_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_power_of_two(docs, tokenizer_path()).drop("ids", "bucket")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train_ppm(docs.filter(F.col("doc_id").isNotNull() & ~held_out()))
+    found = docs.select("doc_id", held_out().alias("held_out"), langid.predict_language(docs, model).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.bits_per_byte", "found.rejected")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontam.mark_leaks(docs, table(spark, sf_dir, "benchmark"), "leak")
+    return marked.select(
+        "doc_id",
+        "leak.n_words",
+        "leak.n_hit",
+        F.size("leak.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leak.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("leak.n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_power_of_two_packing, op4_language_id, op5_decontamination)}
 SQL: dict[str, str] = {}
