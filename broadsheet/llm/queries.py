@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import decontam, langid, packing, simhash
+from broadsheet.llm import decontam, langid, packing, secret_scan, simhash
 from broadsheet.llm.common import table
 
 FOLDS = 5
@@ -56,5 +56,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_power_of_two_packing, op4_language_id, op5_decontamination)}
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secret_scan.scan_secrets(docs)
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *(count(p.kind) for p in secret_scan.BASE),
+        F.sha2(secret_scan.span_list("base").cast("binary"), 256).alias("base_sha256"),
+        secret_scan.span_list("spans").alias("spans"),
+        F.col("n_copied").cast("long").alias("n_copied"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_power_of_two_packing, op4_language_id, op5_decontamination, op8_secret_scan)}
 SQL: dict[str, str] = {}
