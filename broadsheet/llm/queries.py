@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import decontam, langid, packing, secret_scan, simhash
+from broadsheet.llm import decontam, langid, license_scan, packing, secret_scan, sharding, simhash
 from broadsheet.llm.common import table
 
 FOLDS = 5
@@ -69,5 +69,41 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_power_of_two_packing, op4_language_id, op5_decontamination, op8_secret_scan)}
+def op6_two_pass_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shuffle_into_shards(docs).select(
+        "doc_id",
+        sharding.row_size("text").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    templates = spark.createDataFrame(list(license_scan.TEMPLATES.items()), "license_id string, text string")
+    found = license_scan.find_licenses(docs, templates, "licenses")
+    return found.select(
+        "doc_id",
+        F.array_join(F.transform("licenses", lambda x: x["license_id"]), ",").alias("licenses"),
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.coalesce(F.array_max(F.transform("licenses", lambda x: x["containment"])), F.lit(0.0)).alias("containment"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash_near_dedup,
+        op3_power_of_two_packing,
+        op4_language_id,
+        op5_decontamination,
+        op6_two_pass_sharding,
+        op8_secret_scan,
+        op10_license_scan,
+    )
+}
 SQL: dict[str, str] = {}
