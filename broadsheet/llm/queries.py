@@ -18,6 +18,11 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(fold == 0, F.lit(False))
 
 
+def taught(docs: DataFrame) -> DataFrame:
+    """The documents that language ID may learn from."""
+    return docs.filter(F.col("doc_id").isNotNull() & ~held_out())
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -38,7 +43,7 @@ def op3_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = langid.train_ppm(docs.filter(F.col("doc_id").isNotNull() & ~held_out()))
+    model = langid.train_ppm(taught(docs))
     found = docs.select("doc_id", held_out().alias("held_out"), langid.predict_language(docs, model).alias("found"))
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.bits_per_byte", "found.rejected")
 
