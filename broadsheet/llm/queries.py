@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import decontam, langid, license_scan, packing, secret_scan, sharding, simhash
+from broadsheet.llm import decontam, langid, license_scan, packing, secret_scan, sharding, simhash, suffix_dedup
 from broadsheet.llm.common import table
 
 FOLDS = 5
@@ -87,6 +87,14 @@ def op6_two_pass_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     templates = spark.createDataFrame(list(license_scan.TEMPLATES.items()), "license_id string, text string")
@@ -108,6 +116,7 @@ QUERIES = {
         op5_decontamination,
         op6_two_pass_sharding,
         op8_secret_scan,
+        op9_suffix_dedup,
         op10_license_scan,
     )
 }
