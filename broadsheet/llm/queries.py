@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import decontam, langid, license_scan, packing, secret_scan, sharding, simhash, suffix_dedup
+from broadsheet.llm import decontam, html_article, langid, license_scan, packing, secret_scan, sharding, simhash, suffix_dedup
 from broadsheet.llm.common import table
 
 FOLDS = 5
@@ -61,6 +61,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_article(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html_article.article_text("html").alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     found = secret_scan.scan_secrets(docs)
@@ -115,6 +120,7 @@ QUERIES = {
         op4_language_id,
         op5_decontamination,
         op6_two_pass_sharding,
+        op7_html_article,
         op8_secret_scan,
         op9_suffix_dedup,
         op10_license_scan,
