@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import decontam, html_article, langid, license_scan, packing, secret_scan, sharding, simhash, suffix_dedup
+from broadsheet.llm import decontam, html_article, langid, license_scan, packing, quality, secret_scan, sharding, simhash, suffix_dedup
 from broadsheet.llm.common import table
 
 FOLDS = 5
@@ -36,6 +36,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judge_quality(docs)
+
+
 def op3_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_power_of_two(docs, tokenizer_path()).drop("ids", "bucket")
@@ -116,6 +121,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
+        op2_quality_perplexity,
         op3_power_of_two_packing,
         op4_language_id,
         op5_decontamination,
