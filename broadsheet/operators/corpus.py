@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.text import corpus_clean
-from broadsheet.operators.lookup import lookup_join
 
 # The purely alphabetic English stop words of Spark's own
 # StopWordsRemover. Pass another list to use another library's.
@@ -43,18 +42,19 @@ def corpus_tokens(
 def lemmatize(df: DataFrame, lemma: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Replace each token by its ``lemma`` where the (term, lemma) table has one.
 
-    ``id_col`` must be unique: it puts the tokens of a text back together.
+    ``id_col`` must be unique: it brings a text's lemmas back to it. Null tokens, and those
+    of a null list, stay what they are; of several lemmas of a term one is taken.
     """
     # of an expression, not of the column itself: Spark would push a test of the
     # column's size to the scan and tokenise there a second time
-    listed = F.filter("tokens", lambda t: t.isNotNull())
-    words = df.select(id_col, F.posexplode(listed).alias("_pos", "term"))
-    found = lookup_join(words, lemma.select("term", "lemma"), ["term"], "left", salt=F.col("_pos"))
-    base = F.struct(F.col("_pos"), F.coalesce("lemma", "term").alias("term"))
-    texts = found.groupBy(id_col).agg(F.sort_array(F.collect_list(base)).alias("_words"))
-    kept = df.drop("tokens").join(texts, id_col, "left")
-    tokens = F.coalesce(F.transform("_words", lambda w: w["term"]), F.array().cast("array<string>"))
-    return kept.withColumn("tokens", tokens).drop("_words")
+    distinct = F.filter(F.array_distinct("tokens"), lambda t: t.isNotNull())
+    forms = lemma.select("term", "lemma").dropDuplicates(["term"])
+    # words without a lemma end in this join, whichever way Spark does it
+    found = df.select(id_col, F.explode(distinct).alias("term")).join(forms, "term")
+    entries = F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("_forms")
+    kept = df.join(found.groupBy(id_col).agg(entries), id_col, "left")
+    base = F.transform("tokens", lambda t: F.coalesce(F.try_element_at("_forms", t), t))
+    return kept.withColumn("tokens", F.when(F.col("_forms").isNull(), F.col("tokens")).otherwise(base)).drop("_forms")
 
 
 def processed_text(tokens: Column | str = "tokens") -> Column:

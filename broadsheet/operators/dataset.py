@@ -25,12 +25,33 @@ def dataset_counts(df: DataFrame) -> DataFrame:
 
 
 def limit_articles(df: DataFrame, n: int | None, order: list[str] | None = None) -> DataFrame:
-    """The first ``n`` rows; None and 0 mean all, a negative number means none."""
+    """The first ``n`` rows; None and 0 mean all, a negative number means none.
+
+    Rows are ordered by url, fetch time and a hash of the whole row, nulls first; an
+    ``order`` that is given must be total. Only these keys are ranked, ``n`` of them; the
+    rows are then filtered in place, so they stay in as many partitions as they were.
+    Rows equal in all keys are copies, and as many of them are taken as still fit.
+    """
     if not n:
         return df
     if n < 0:
         return df.limit(0)
-    return df.orderBy(*(order or ["url"])).limit(n)
+    if order is None:
+        whole = F.xxhash64(F.to_json(F.struct(*df.columns)))
+        times = [F.col("fetched_at")] if "fetched_at" in df.columns else []
+        keys = [F.col("url"), *times, whole]
+    else:
+        keys = [F.col(c) for c in order]
+    key = F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys)))
+    firsts = df.select(key.alias("_key")).orderBy("_key").limit(n)
+    last = firsts.groupBy("_key").agg(F.count("*").alias("_copies")).agg(F.max(F.struct("_key", "_copies")).alias("_last")).first()["_last"]
+    if last is None:
+        return df
+    keyed = df.withColumn("_key", key)
+    cut = F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(last["_key"], keyed.schema["_key"].dataType)))
+    before = keyed.filter(F.col("_key") < cut)
+    copies = keyed.filter(F.col("_key") == cut).limit(last["_copies"])
+    return before.unionByName(copies).drop("_key")
 
 
 def by_uid(df: DataFrame, uid: str) -> DataFrame:
@@ -53,10 +74,11 @@ def _bucket_offsets(keyed: DataFrame) -> DataFrame:
 def shuffled(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
     """Add ``row_idx``, each row's place in a seeded random order, counted from 0.
 
-    ``id_col`` must be unique. No task sees more than one bucket: the place is the
+    ``id_col`` must be unique; a row without an id comes first. No task sees more than one bucket: the place is the
     number of rows in earlier buckets plus the rank inside the bucket.
     """
-    keyed = df.withColumn("_hash", _hash_key(id_col, seed)).withColumn("_bucket", F.substring("_hash", 1, _BUCKET_HEX))
+    hashed = F.coalesce(_hash_key(id_col, seed), F.lit("0" * 32))
+    keyed = df.withColumn("_hash", hashed).withColumn("_bucket", F.substring("_hash", 1, _BUCKET_HEX))
     offsets = _bucket_offsets(keyed).select("_bucket", "_before")
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", id_col))
     return (
@@ -83,7 +105,10 @@ def train_test_split(
     if exact:
         return _exact_split(keyed, test_size, id_col)
     number = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
-    is_test = F.pmod(number, F.lit(10_000)) < F.lit(round(test_size * 10_000))
+    if 0 < test_size < 0.0001:  # finer than the ten thousand parts below
+        is_test = number < F.lit(round(test_size * (1 << 32)))
+    else:
+        is_test = F.pmod(number, F.lit(10_000)) < F.lit(round(test_size * 10_000))
     return keyed.withColumn("split", _side(is_test)).drop("_hash")
 
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A vocabulary is ordered in one task and broadcast, so its size must be bounded.
-MAX_VOCABULARY = 1_000_000
+# A vocabulary of at most so many terms is picked in one task.
+ONE_TASK_TERMS = 1_000_000
+_PREFIX = 3
 
 
 def doc_terms(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -45,25 +46,54 @@ def fit_vocab(tokens: DataFrame, k: int = 5000, id_col: str = "doc_id") -> DataF
     Ties go to the term that sorts first; indexes follow alphabetical order. The
     document count includes documents without any term.
     """
-    if not 0 < k <= MAX_VOCABULARY:
-        raise ValueError(f"vocabulary size must be in 1..{MAX_VOCABULARY}")
+    if k <= 0:
+        raise ValueError("vocabulary size must be positive")
     n_docs = tokens.agg(F.count("*")).scalar()
-    top = term_stats(tokens, id_col).orderBy(F.desc("tf_total"), "term").limit(k)
-    return top.select(
+    stats = term_stats(tokens, id_col)
+    top = stats.orderBy(F.desc("tf_total"), "term").limit(k) if k <= ONE_TASK_TERMS else _most_frequent(stats, k)
+    return _ranked(top).select(
         "term",
-        (F.row_number().over(Window.orderBy("term")) - 1).alias("term_idx"),
+        F.col("_rank").alias("term_idx"),
         "df",
         "tf_total",
         (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"),
     )
 
 
+def _ranked(terms: DataFrame) -> DataFrame:
+    """Add ``_rank``, each term's place in alphabetical order from 0, without one task for all.
+
+    Terms are ranked among those with the same first letters, behind the terms of
+    earlier letters; only one count per beginning is summed in one place.
+    """
+    cut = terms.withColumn("_prefix", F.substring("term", 1, _PREFIX))
+    sizes = cut.groupBy("_prefix").agg(F.count("*").alias("_size"))
+    earlier = F.sum("_size").over(Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1))
+    before = sizes.select("_prefix", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy("term"))
+    ranked = cut.withColumn("_inside", inside).join(before, "_prefix")
+    return ranked.withColumn("_rank", F.col("_before") + F.col("_inside") - 1).drop("_prefix", "_inside", "_before")
+
+
+def _most_frequent(stats: DataFrame, k: int) -> DataFrame:
+    """The ``k`` most frequent terms by a cut on the frequency; one count per frequency is summed in one place."""
+    sizes = stats.groupBy("tf_total").agg(F.count("*").alias("_size"))
+    higher = F.sum("_size").over(Window.orderBy(F.desc("tf_total")).rowsBetween(Window.unboundedPreceding, -1))
+    placed = sizes.withColumn("_before", F.coalesce(higher, F.lit(0)))
+    last = placed.filter((F.col("_before") < k) & (F.col("_before") + F.col("_size") >= k)).first()
+    if last is None:
+        return stats
+    ties = _ranked(stats.filter(F.col("tf_total") == last.tf_total)).filter(F.col("_rank") < k - last["_before"]).drop("_rank")
+    return stats.filter(F.col("tf_total") > last.tf_total).unionByName(ties)
+
+
 def tfidf(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, term_idx, weight), each document's weights of unit length.
 
-    ``vocab`` comes from ``fit_vocab``, which bounds its size, or was saved from it.
+    ``vocab`` comes from ``fit_vocab`` or was saved from it. Spark sends it to every
+    executor if it is as small as it should be, and else joins by shuffle.
     """
-    lookup = F.broadcast(vocab.select("term", "term_idx", "idf"))
+    lookup = vocab.select("term", "term_idx", "idf")
     found = doc_terms(tokens, id_col).join(lookup, "term")
     weighted = found.select(id_col, "term_idx", (F.col("tf") * F.col("idf")).alias("_w"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))

@@ -6,6 +6,7 @@ import unicodedata
 
 from broadsheet.operators.corpus import STOP_WORDS
 from broadsheet.operators.prompts import DEFAULT_TASKS, prompt_text
+from broadsheet.plans.views import ANSWERS
 
 
 def _quoted(value: str) -> str:
@@ -151,6 +152,22 @@ _FLAT = "title, body, url, source, published_at, author"
 _ARTICLE_AUTHOR = "CASE WHEN lang = 'de' THEN NULL WHEN lang = 'es' THEN {absent} ELSE author END AS author"
 
 
+_SCORE = "try_cast(nullif(regexp_extract(answer, 'Impact Score: *([0-9]+) *[|] *Description: *(.*)', 1, 's'), '') AS INT)"
+_GIVEN = "answers AS (" + " UNION ALL ".join(
+    f"SELECT doc_id, lang, url, title, '{task}' AS task, {answer} AS answer FROM v_articles" for task, answer in ANSWERS.items()
+) + ")"
+_PARSED = f"""parsed AS (
+  SELECT *, substr(sha256(url), 1, 16) AS uid,
+         CASE WHEN task = 'sentiment' THEN nullif(regexp_extract(answer, 'Sentiment: *(Bullish|Bearish|Neutral) *[|] *Reasoning: *(.*)', 1, 's'), '') END AS sentiment,
+         CASE WHEN task = 'sentiment' THEN nullif(regexp_extract(answer, 'Sentiment: *(Bullish|Bearish|Neutral) *[|] *Reasoning: *(.*)', 2, 's'), '') END AS reasoning,
+         CASE WHEN task = 'impact' AND {_SCORE} BETWEEN 1 AND 10 THEN {_SCORE} END::BIGINT AS impact_score,
+         CASE WHEN task = 'impact' THEN nullif(regexp_extract(answer, 'Impact Score: *([0-9]+) *[|] *Description: *(.*)', 2, 's'), '') END AS description,
+         CASE WHEN task = 'entities' THEN array_to_string(list_filter([trim(e) FOR e IN string_split(answer, ',')], lambda e: e <> ''), '|') END AS entities
+  FROM answers
+)"""
+_BY_SCORE = "ORDER BY impact_score DESC NULLS LAST, uid, doc_id"
+
+
 def oracle() -> dict[str, str]:
     page_title = "regexp_extract(html, '<title>(.*?)</title>', 1, 's')"
     page_author = "CASE WHEN html LIKE '%</html>' THEN regexp_extract(html, '<h1>(.*?)</h1>', 1, 's') END"
@@ -275,4 +292,21 @@ def oracle() -> dict[str, str]:
             SELECT doc_id, term_idx,
                    round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight
             FROM weighted""",
+        "parsed_answers": _articles(
+            "SELECT doc_id, task, answer, sentiment, reasoning, impact_score, description, entities FROM parsed", _GIVEN, _PARSED
+        ),
+        "length_filter": _articles("SELECT doc_id, body FROM v_articles WHERE length(body) BETWEEN 100 AND 10000"),
+        "language_filter": _articles("SELECT doc_id, url FROM v_articles WHERE lang = 'en'"),
+        "top_articles": _articles(
+            f"SELECT doc_id, uid, impact_score FROM parsed WHERE task = 'impact' {_BY_SCORE} LIMIT 20", _GIVEN, _PARSED
+        ),
+        "report_sections": _articles(
+            f"""SELECT section, place, doc_id, impact_score FROM (
+              SELECT section, doc_id, impact_score, row_number() OVER (PARTITION BY section {_BY_SCORE}) AS place
+              FROM parsed JOIN (VALUES ('en', 'Top Developments'), ('en', 'Key Signals'), ('es', 'Technology Highlights'),
+                ('fr', 'Market Signals'), ('de', 'Geopolitical Events'), ('de', 'Key Signals')) AS m(lang, section) USING (lang)
+              WHERE task = 'impact') WHERE place <= 20""",
+            _GIVEN,
+            _PARSED,
+        ),
     }

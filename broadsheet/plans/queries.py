@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import functions as text
 from broadsheet import sources
-from broadsheet.operators import answers, collect, corpus, dataset, prompts
+from broadsheet.operators import answers, collect, corpus, dataset, prompts, reports
 from broadsheet.operators import tfidf as weights
 from broadsheet.plans import views
 from broadsheet.sources import newsapi
@@ -256,8 +256,54 @@ def generate_answers(spark, sf):
 @query
 def analysis_report(spark, sf):
     reports = answers.analysis_report(views.v_articles(spark, sf, "doc_id"), measuring_model, keep=["doc_id"])
-    # of the entries, not of the map itself: Spark would build a bare column twice, to test its size
-    return reports.select("doc_id", "title", "url", F.inline(F.map_entries("analysis")).alias("task", "answer"))
+    return reports.select("doc_id", "title", "url", F.explode("analysis").alias("task", "answer"))
+
+
+# -- reports -----------------------------------------------------------------------
+
+
+@query
+def parsed_answers(spark, sf):
+    parsed = reports.parsed_answers(views.v_answers(spark, sf))
+    entities = F.array_join("entities", "|").alias("entities")
+    return parsed.select("doc_id", "task", "answer", "sentiment", "reasoning", *_long("impact_score"), "description", entities)
+
+
+@query
+def length_filter(spark, sf):
+    return reports.length_filter(views.v_articles(spark, sf)).select("doc_id", "body")
+
+
+@query
+def language_filter(spark, sf):
+    return reports.language_filter(views.v_articles(spark, sf)).select("doc_id", "url")
+
+
+def _scored(spark, sf) -> DataFrame:
+    parsed = reports.parsed_answers(views.v_answers(spark, sf)).filter("task = 'impact'")
+    return parsed.withColumn("uid", text.article_uid("url"))
+
+
+@query
+def top_articles(spark, sf):
+    return reports.top_articles(_scored(spark, sf), ties=["uid", "doc_id"]).select("doc_id", "uid", *_long("impact_score"))
+
+
+SECTIONS = [
+    ("en", "Top Developments"),
+    ("en", "Key Signals"),
+    ("es", "Technology Highlights"),
+    ("fr", "Market Signals"),
+    ("de", "Geopolitical Events"),
+    ("de", "Key Signals"),
+]
+
+
+@query
+def report_sections(spark, sf):
+    mapping = spark.createDataFrame(SECTIONS, "lang string, section string")
+    placed = reports.report_sections(_scored(spark, sf), mapping, on="lang", ties=["uid", "doc_id"])
+    return placed.select("section", *_long("place"), "doc_id", *_long("impact_score"))
 
 
 # -- corpus -------------------------------------------------------------------------

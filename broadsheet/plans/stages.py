@@ -51,11 +51,12 @@ def analyze(
     tasks: Sequence[str] | None = None,
     limit: int | None = None,
     batch_size: int = BATCH_SIZE,
+    partitions: int | None = None,
     **options,
 ) -> None:
-    """Run the model over the dataset and append the reports."""
+    """Run the model over the dataset, in ``partitions`` tasks if given, and append the reports."""
     articles = limit_articles(load_dataset(spark, dataset), limit)
-    write_reports(analysis_report(articles, model_factory, tasks, batch_size, **options), reports)
+    write_reports(analysis_report(articles, model_factory, tasks, batch_size, partitions=partitions, **options), reports)
 
 
 def prepare_corpus(
@@ -65,14 +66,16 @@ def prepare_corpus(
     max_features: int = 5000,
     stop_words: Iterable[str] = STOP_WORDS,
     lemma: DataFrame | None = None,
-    label_type: str = "int",
+    label_type: str | None = None,
+    multi_line: bool = True,
 ) -> None:
     """Labelled CSV to tables below ``out``: tokens, cleaned CSV, vocabulary, weights.
 
     Rows get an id when they are first written, and every later step reads it from
-    that table: ids stay the same and the text is tokenised once.
+    that table: ids stay the same and the text is tokenised once. ``multi_line=False``
+    reads files without quoted line breaks in splits.
     """
-    rows = labelled_corpus(spark, csv, label_type).withColumn("doc_id", F.monotonically_increasing_id())
+    rows = labelled_corpus(spark, csv, label_type, multi_line).withColumn("doc_id", F.monotonically_increasing_id())
     rows.write.mode("overwrite").parquet(f"{out}/rows")
     numbered = spark.read.parquet(f"{out}/rows")
     corpus_tokens(numbered, stop_words, lemma).write.mode("overwrite").parquet(f"{out}/tokens")

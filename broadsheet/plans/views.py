@@ -41,6 +41,23 @@ def v_articles(spark: SparkSession, sf_dir: str, spread_by: str | None = None) -
     )
 
 
+# Model answers in every shape, also outside the format that was asked for. The text is SQL
+# that both engines read.
+ANSWERS = {
+    "sentiment": "CASE doc_id % 4 WHEN 0 THEN 'Sentiment: Bullish | Reasoning: ' || title WHEN 1 THEN 'Sentiment: Bearish|Reasoning:' "
+    "|| source WHEN 2 THEN 'I would say ' || title ELSE 'Well. Sentiment: Neutral | Reasoning: a | b' || chr(10) || 'c' END",
+    "impact": "CASE WHEN doc_id % 5 = 0 THEN 'High: ' || title ELSE 'Impact Score: ' || CAST(doc_id % 13 AS STRING) || ' | Description: ' "
+    "|| title END",
+    "entities": "CASE WHEN doc_id % 7 = 0 THEN ',' ELSE replace(title, ' ', ' , ') END",
+}
+
+
+def v_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and task with what a model might have answered."""
+    answers = F.array(*(F.struct(F.lit(t).alias("task"), F.expr(a).alias("answer")) for t, a in ANSWERS.items()))
+    return v_articles(spark, sf_dir).select("doc_id", "lang", "url", "title", F.inline(answers))
+
+
 def v_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as articles: closed ones have their heading as author, others none."""
     heading = F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1)

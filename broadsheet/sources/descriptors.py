@@ -7,8 +7,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.operators.lookup import lookup_join
-
 DESCRIPTOR_SCHEMA = (
     "source_ord int, type string, enabled boolean, categories array<string>, "
     "country string, page_size int, feeds array<string>"
@@ -54,10 +52,4 @@ def enabled_sources(payloads: DataFrame, descriptors: DataFrame, newsapi_key_set
 
     Disabled sources, unknown types and the REST source without a key drop out.
     """
-    return lookup_join(
-        payloads,
-        source_keys(descriptors, newsapi_key_set),
-        on=["source_type", "source_key"],
-        how="inner",
-        salt=F.spark_partition_id(),
-    )
+    return payloads.join(source_keys(descriptors, newsapi_key_set), ["source_type", "source_key"])

@@ -29,16 +29,12 @@ def payload_items(payloads: DataFrame) -> DataFrame:
     )
 
 
-def newsapi_articles(payloads: DataFrame, page_size: int | None = None) -> DataFrame:
+def newsapi_articles(payloads: DataFrame, page_size: Column | int | None = None) -> DataFrame:
     """Articles of landed responses; ``source_key`` is the request's category.
 
-    ``page_size`` falls back to a payload column of that name, then to 50.
+    The page size belongs to the request: what a response holds is taken whole,
+    unless a caller gives ``page_size`` here.
     """
-    if page_size is not None:
-        size = F.lit(page_size)
-    else:
-        size = F.col("page_size") if "page_size" in payloads.columns else F.lit(50)
-
     item = F.col("item")
     origin = F.try_variant_get(item, "$.source", "variant")
     fields = {
@@ -54,6 +50,8 @@ def newsapi_articles(payloads: DataFrame, page_size: int | None = None) -> DataF
         ),
     }
     carried = [c for c in _CARRIED if c in payloads.columns]
-    items = page_capped(payload_items(payloads), size)
+    items = payload_items(payloads)
+    if page_size is not None:
+        items = page_capped(items, page_size)
     articles = items.select("fetched_at", *carried, "pos", *[c.alias(name) for name, c in fields.items()])
     return valid_articles(articles.select(*ARTICLE_COLUMNS, *carried, "pos"))

@@ -48,17 +48,23 @@ def write_reports(reports: DataFrame, path: str) -> None:
 
 
 def labelled_corpus(
-    source: DataFrame | SparkSession, path: str | None = None, label_type: str = "int", multi_line: bool = True
+    source: DataFrame | SparkSession, path: str | None = None, label_type: str | None = None, multi_line: bool = True
 ) -> DataFrame:
     """``text, label`` rows with neither missing, from a frame or from CSV files.
 
+    A label in a file is text unless ``label_type`` asks for a type; one that is not of
+    that type makes the job fail, it is not dropped.
+
     Quoted line breaks need ``multi_line``, and then one file is one task. Files
     without them should be read with ``multi_line=False``, which Spark splits.
     """
     if path is not None:
         raw = source.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
         text, label = (F.when(~F.col(c).isin(CSV_MISSING), F.col(c)) for c in ("text", "label"))
-        source = raw.select(text.alias("text"), label.try_cast(label_type).alias("label"))
+        if label_type:
+            wrong = F.raise_error(F.concat(F.lit(f"label is no {label_type}: "), label)).cast(label_type)
+            label = F.when(label.isNotNull(), F.coalesce(label.try_cast(label_type), wrong))
+        source = raw.select(text.alias("text"), label.alias("label"))
     return labelled_rows(source).select("text", "label")
 
 

@@ -119,3 +119,43 @@ def test_analyze_stage(spark, tmp_path):
     lines = [json.loads(line) for f in folder.glob("*.json") for line in f.read_text(encoding="utf-8").splitlines()]
     assert sorted((r["url"], r["title"]) for r in lines) == [("u1", None), ("u2", "é")]
     assert all(set(r) == {"title", "url", "analysis"} and list(r["analysis"]) == ["entities"] for r in lines)
+
+
+def counting_factory(folder):
+    """Each model call leaves a file that tells how many prompts it had."""
+
+    def factory():
+        import os
+        import uuid
+
+        def model(prompts):
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                f.write(str(len(prompts)))
+            return ["ok"] * len(prompts)
+
+        return model
+
+    return factory
+
+
+def calls(folder):
+    return [int(f.read_text()) for f in folder.iterdir()]
+
+
+def test_each_prompt_is_asked_once(spark, tmp_path):
+    df = spark.createDataFrame([(f"t{i}", "b", f"u{i}") for i in range(50)], ARTICLE)
+    exploded = analysis_report(df, counting_factory(str(tmp_path))).selectExpr("url", "explode(analysis)")
+    assert exploded.count() == 200 and len(exploded.columns) == 3
+    for f in tmp_path.iterdir():
+        f.unlink()
+    rows = exploded.collect()
+    assert len(rows) == 200 and sum(calls(tmp_path)) == 200
+
+
+def test_answers_leave_in_slices_and_partitions_are_the_callers(spark, tmp_path):
+    df = spark.createDataFrame([(f"t{i}", "b", f"u{i}") for i in range(70)], ARTICLE).coalesce(1)
+    report = analysis_report(df, counting_factory(str(tmp_path)), ["summarize"], batch_size=4, partitions=5)
+    assert report.rdd.getNumPartitions() == 5
+    rows = report.collect()
+    assert len(rows) == 70 and {r.analysis["summarize"] for r in rows} == {"ok"}
+    assert sum(calls(tmp_path)) == 70 and max(calls(tmp_path)) == 4

@@ -3,10 +3,11 @@ import math
 import re
 from collections import Counter
 
+import pytest
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
-from broadsheet.operators import lookup
+from broadsheet.operators import tfidf as weights
 from broadsheet.operators.corpus import STOP_WORDS, corpus_tokens, lemmatize, processed_text
 from broadsheet.operators.tfidf import doc_terms, fit_vocab, term_stats, tfidf
 from broadsheet.plans import stages
@@ -81,12 +82,23 @@ def test_vocabulary_ties_and_bounds(spark):
     tokens = tokens_frame(spark, [["dd", "cc", "bb", "aa", "aa"], []])
     rows = {r.term: (r.term_idx, r.df, r.tf_total) for r in fit_vocab(tokens, 2).collect()}
     assert rows == {"aa": (0, 1, 2), "bb": (1, 1, 1)}
-    for k in (0, -1, 10**9):
+    for k in (0, -1):
         try:
             fit_vocab(tokens, k)
         except ValueError:
             continue
         raise AssertionError(k)
+    assert fit_vocab(tokens, 10**9).count() == 4
+
+
+def test_large_vocabularies_are_picked_alike(spark, sf, monkeypatch):
+    tokens = corpus_tokens(spark.read.parquet(f"{sf}/documents.parquet"))
+    for k in (1, 7, 300, 10**7):
+        want = sorted(map(tuple, fit_vocab(tokens, k).collect()))
+        monkeypatch.setattr(weights, "ONE_TASK_TERMS", 0)
+        assert sorted(map(tuple, fit_vocab(tokens, k).collect())) == want
+        monkeypatch.undo()
+        assert [r[1] for r in sorted(want)] == list(range(len(want)))
 
 
 def test_hot_term_is_counted_before_the_shuffle(spark):
@@ -94,18 +106,17 @@ def test_hot_term_is_counted_before_the_shuffle(spark):
     assert "partial_sum" in plan[plan.index("Exchange") :]
 
 
-def test_lemmas_by_broadcast_and_by_shuffle(spark, monkeypatch):
+def test_lemmas_by_broadcast_and_by_shuffle(spark):
     lists = [["cats", "sat", "cats", "mice"], [], ["sat"]]
     lemma = spark.createDataFrame([("cats", "cat"), ("mice", "mouse")], "term string, lemma string")
     want = {0: ["cat", "sat", "cat", "mouse"], 1: [], 2: ["sat"]}
     tokens = tokens_frame(spark, lists)
     assert {r.doc_id: r.tokens for r in lemmatize(tokens, lemma).collect()} == want
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda *_: False)
-    assert {r.doc_id: r.tokens for r in lemmatize(tokens, lemma).collect()} == want
-
-
-def test_size_check(spark):
-    assert lookup.fits_broadcast(spark.range(10), 10) and not lookup.fits_broadcast(spark.range(11), 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert {r.doc_id: r.tokens for r in lemmatize(tokens, lemma).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 CSV_ROWS = [
@@ -126,11 +137,20 @@ def write_csv(path):
 
 def test_csv_scan(spark, tmp_path):
     write_csv(tmp_path / "in.csv")
-    rows = labelled_corpus(spark, str(tmp_path / "in.csv"))
+    rows = labelled_corpus(spark, str(tmp_path / "in.csv"), "int")
     assert rows.columns == ["text", "label"]
     assert sorted(map(tuple, rows.collect())) == [("Café 99 dogs", 0), ('He said "hi",\nthen left', 1), ("the and", 1)]
 
 
+def test_labels_are_kept_as_they_are(spark, tmp_path):
+    with open(tmp_path / "in.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([["text", "label"], ["a", "real"], ["b", "fake"], ["c", "1"]])
+    rows = labelled_corpus(spark, str(tmp_path / "in.csv"))
+    assert sorted(map(tuple, rows.collect())) == [("a", "real"), ("b", "fake"), ("c", "1")]
+    with pytest.raises(Exception, match="label is no int"):
+        labelled_corpus(spark, str(tmp_path / "in.csv"), "int").collect()
+
+
 def test_corpus_stage(spark, tmp_path):
     write_csv(tmp_path / "in.csv")
     out = str(tmp_path / "out")

@@ -31,6 +31,29 @@ def test_limit(spark):
     assert [r.url for r in limit_articles(df, 2).collect()] == ["u0", "u1"]
 
 
+def test_limit_is_exact_and_stays_parallel(spark):
+    rows = [("u", "t1", i % 3) for i in range(9)] + [("u", "t0", 5), (None, "t9", 1), ("a", None, 2)]
+    df = spark.createDataFrame(rows, "url string, fetched_at string, x int").repartition(4)
+    assert sorted(map(str, limit_articles(df, 3).collect())) == sorted(
+        map(str, df.filter("url IS NULL OR url = 'a' OR fetched_at = 't0'").collect())
+    )
+    for n in range(1, 14):
+        assert limit_articles(df, n).count() == min(n, 12)
+    big = limit_articles(ids(spark, 100, 8), 60)
+    assert big.rdd.getNumPartitions() > 4
+    assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffled_keeps_a_row_without_id(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,)], "doc_id long")
+    assert sorted(r.row_idx for r in shuffled(df, "doc_id").collect()) == [0, 1, 2]
+
+
+def test_very_small_test_side(spark):
+    df = spark.range(1_000_000).select(F.col("id").alias("uid"))
+    assert 15 <= train_test_split(df, 0.00004).filter("split = 'test'").count() <= 70
+
+
 def test_counts(spark):
     assert [tuple(r) for r in dataset_counts(ids(spark, 3)).collect()] == [(3, False)]
     assert [tuple(r) for r in dataset_counts(ids(spark, 0)).collect()] == [(0, True)]

@@ -1,6 +1,7 @@
 import json
 
 from conftest import as_dicts
+from pyspark.sql import functions as F
 
 from broadsheet.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
 from broadsheet.sources import (
@@ -122,8 +123,11 @@ def test_newsapi_envelopes(spark):
 def test_newsapi_page_size(spark):
     many = envelope(*[{"url": str(i), "title": "t"} for i in range(150)])
     kept = {size: newsapi_articles(payloads(spark, many), size) for size in (None, 20, 500)}
-    assert {size: df.count() for size, df in kept.items()} == {None: 50, 20: 20, 500: 100}
+    assert {size: df.count() for size, df in kept.items()} == {None: 150, 20: 20, 500: 100}
     assert sorted(int(r.url) for r in kept[20].collect()) == list(range(20))
+    # a descriptor's page size is for the request and cuts nothing here
+    asked = payloads(spark, many).withColumn("page_size", F.lit(50))
+    assert newsapi_articles(asked).count() == 150
 
 
 # -- feeds --------------------------------------------------------------------------
