@@ -100,7 +100,7 @@ def ring_keys(fp: Column, max_distance: int, depth: int) -> Column:
     """An array of (start, key): where the chain starts, and the bits that must be equal."""
     ring = segments(max_distance)
     depth = min(depth, len(ring))
-    bits = lambda first, width: F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
+    bits = lambda first, width: F.shiftleft(F.shiftrightunsigned(fp, first), _BITS - width)
     keys = []
     for start in range(len(ring)):
         chain = [ring[(start + i) % len(ring)] for i in range(depth)]

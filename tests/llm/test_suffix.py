@@ -1,0 +1,96 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from broadsheet.llm import suffix_dedup
+from broadsheet.llm.queries import QUERIES
+
+
+def plain(texts, window):
+    """(bytes, spans, digest of the rest) of each text, by counting every window."""
+    data = [(t or "").encode() for t in texts]
+    counts = Counter(hashlib.md5(d[i : i + window]).digest() for d in data for i in range(len(d) - window + 1))
+    out = []
+    for d in data:
+        gone = np.zeros(len(d) + 1, int)
+        for i in range(len(d) - window + 1):
+            if counts[hashlib.md5(d[i : i + window]).digest()] > 1:
+                gone[i] += 1
+                gone[i + window] -= 1
+        gone = np.concatenate(([0], np.cumsum(gone[:-1]) > 0, [0])).astype(int)
+        edges = np.flatnonzero(np.diff(gone)).tolist()
+        kept = bytes(b for b, g in zip(d, gone[1:-1]) if not g)
+        out.append((len(d), list(zip(edges[::2], edges[1::2])), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def found(df):
+    return [(r.n_bytes, [tuple(s) for s in r.spans], r.kept_sha256) for r in df.orderBy("doc_id").collect()]
+
+
+def test_query_equals_brute_force(spark, sf, documents):
+    rows = QUERIES["op9_suffix_dedup"](spark, sf).collect()
+    ids = sorted(documents)
+    want = dict(zip(ids, plain([documents[i].text for i in ids], 400)))
+    assert len(rows) == len(ids)
+    for r in rows:
+        n, spans, digest = want[r.doc_id]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (n, sum(b - a for a, b in spans), len(spans), digest)
+    assert sum(r.n_removed for r in rows)
+
+
+def texts_of(seed):
+    rng = random.Random(seed)
+    letters = "ab" if seed % 2 else "abcdefgh é"
+    base = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 90))) for _ in range(12)]
+    out = ["", "a" * 70, "ab" * 40, *base]
+    for _ in range(14):  # near copies and texts made of parts
+        parts = [rng.choice(base)[rng.randint(0, 30) :] for _ in range(3)]
+        out.append("".join(parts))
+    return out + [base[0], base[0], None]
+
+
+@pytest.mark.parametrize(("seed", "window", "gram", "digit", "cell"), [(1, 20, 5, 7, 10**6), (2, 16, 4, 16, 10**6), (3, 20, 20, 6, 1), (4, 12, 3, 5, 3), (5, 30, 8, 10, 2)])
+def test_equals_brute_force(spark, monkeypatch, seed, window, gram, digit, cell):
+    texts = texts_of(seed)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = found(suffix_dedup.repeated_spans(docs, window=window, gram=gram, digit=digit, cell=cell))
+    assert got == plain(texts, window)
+
+
+def test_small_parts_and_ranges(monkeypatch):
+    rng = random.Random(9)
+    data = [bytes(rng.choice(b"abc") for _ in range(60)) for _ in range(30)] + [b"abcab" * 14]
+    monkeypatch.setattr(suffix_dedup, "_WINDOWS", 40)
+    monkeypatch.setattr(suffix_dedup, "_PART", 1 << 10)
+    suffix_dedup._powers.cache_clear()
+    group = [suffix_dedup._Stretch(1, 10 + i % 3, (i, 0), 0, d) for i, d in enumerate(data)]
+    suffix_dedup.mark_repeated(group, 6, 4)
+    counts = Counter((s.distance - q, s.data[q : q + 6]) for s in group for q in range(len(s.data) - 5))
+    for s in group:
+        want = [counts[(s.distance - q, s.data[q : q + 6])] > 1 for q in range(len(s.data) - 5)]
+        assert (all(want) if s.whole else s.repeated.tolist() == want)
+    suffix_dedup._powers.cache_clear()
+
+
+def test_long_texts_are_read_in_parts(monkeypatch):
+    rng = random.Random(3)
+    text = bytes(rng.choice(b"abcdefgh") for _ in range(5000))
+    whole = np.concatenate(suffix_dedup.minimizers(text, 50, 8), axis=1)
+    monkeypatch.setattr(suffix_dedup, "_PART", 700)
+    parts = np.concatenate(suffix_dedup.minimizers(text, 50, 8), axis=1)
+    places = lambda m: {(g, s + d - 0) for g, d, a, b in m.T.tolist() for s in (a,)}
+    assert {g for g, _ in places(whole)} == {g for g, _ in places(parts)}
+    assert sum(b - a + 1 for _, _, a, b in parts.T.tolist()) == sum(b - a + 1 for _, _, a, b in whole.T.tolist()) == 5000 - 49
+
+
+def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
+    rows = suffix_dedup.repeated_spans(odd_docs).collect()
+    assert len(rows) == len(odd_rows)
+    assert all(r.spans == [] for r in rows if r.doc_id in (3, 4, 5, 7))
+    copies = [r for r in rows if r.doc_id in (1, 2)]
+    assert all([tuple(s) for s in r.spans] == [(0, r.n_bytes)] for r in copies)
+    assert suffix_dedup.repeated_spans(no_docs).count() == 0
