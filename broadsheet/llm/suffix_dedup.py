@@ -14,7 +14,8 @@ passes; suffixes that are equal after the last pass are exactly the repeated win
 3. A minimizer with more than ``CELL`` places does not go to one task: each of its windows
    becomes a row with a 128-bit hash, and Spark groups those.
 
-Texts are told by their MD5, and copies of a text count as one from the start.
+Texts are told by a 128-bit hash, and copies of a text count as one from the start. The
+text itself is shuffled once, for the two steps that read it.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ CELL = 32_768
 _PART = 1 << 20
 _PLACE_BITS = 21
 _WINDOWS = 1 << 20
-_EMPTY_SHA = hashlib.sha256(b"").hexdigest()
-_ANCHORS = "array<struct<gram: long, distance: int, first: long, last: long>>"
+_EMPTY_SHA = hashlib.sha256(b"").digest()
+_ANCHORS = {"gram": pa.int64(), "distance": pa.int32(), "first": pa.int32(), "last": pa.int32()}
+_KEY = ["key_a", "key_b"]
 _SPANS = "array<struct<first: long, last: long>>"
 
 
@@ -102,8 +104,6 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def _scan(window: int, gram: int):
-    anchor = pa.struct([("gram", pa.int64()), ("distance", pa.int32()), ("first", pa.int64()), ("last", pa.int64())])
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, parts, counts = [], [], [], [0]
@@ -112,14 +112,14 @@ def _scan(window: int, gram: int):
                 found = minimizers(data, window, gram) if len(data) >= window else []
                 parts += found
                 sizes.append(len(data))
-                digests.append(hashlib.sha256(data).hexdigest())
+                digests.append(hashlib.sha256(data).digest())
                 counts.append(counts[-1] + sum(p.shape[1] for p in found))
             rows = np.concatenate(parts, axis=1) if parts else np.empty((4, 0), np.int64)
-            entries = pa.StructArray.from_arrays([pa.array(c.astype(t.type.to_pandas_dtype())) for c, t in zip(rows, anchor)], fields=list(anchor))
-            anchors = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), entries)
+            ends = pa.array(counts, pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(c, t)) for c, t in zip(rows, _ANCHORS.values())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(digests), anchors],
-                ["id", "text_key", "n_bytes", "sha256", "anchors"],
+                [*(batch.column(c) for c in ("id", *_KEY)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *lists],
+                ["id", *_KEY, "n_bytes", "sha256", *_ANCHORS],
             )
 
     return scan
@@ -132,8 +132,9 @@ def _stretches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Re
     """One row per minimizer of a text, with the bytes of its windows."""
     for batch in batches:
         keys, rows, data = [], [], []
-        for key, text, anchors in zip(batch.column("text_key"), batch.column("text"), batch.column("anchors").to_pylist()):
-            text, key = text.as_py(), key.as_py()
+        texts = zip(*(batch.column(c).to_pylist() for c in _KEY), batch.column("text"), batch.column("anchors").to_pylist())
+        for key_a, key_b, text, anchors in texts:
+            text, key = text.as_py(), (key_a, key_b)
             for a in anchors:
                 keys.append(key)
                 rows.append((a["gram"], a["places"], a["distance"], a["first"]))
@@ -147,9 +148,9 @@ def _stretches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Re
 
 def _stretch_batch(keys: list, rows: list, data: list) -> pa.RecordBatch:
     gram, places, distance, first = zip(*rows)
+    numbers = [pa.array(c, pa.int64()) for c in (gram, places, first, *zip(*keys))]
     return pa.RecordBatch.from_arrays(
-        [pa.array(gram, pa.int64()), pa.array(places, pa.int64()), pa.array(distance, pa.int32()), pa.array(keys, pa.binary()), pa.array(first, pa.int64()), pa.array(data, pa.binary())],
-        ["gram", "places", "distance", "text_key", "first", "data"],
+        [*numbers, pa.array(distance, pa.int32()), pa.array(data, pa.binary())], ["gram", "places", "first", *_KEY, "distance", "data"]
     )
 
 
@@ -165,8 +166,8 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[_Stretch]
     """Whole groups of a minimizer from rows sorted by it, some groups at a time."""
     held, size = [], 0
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("gram", "distance", "text_key", "first", "data"))
-        for row in map(_Stretch, *columns):
+        gram, distance, key_a, key_b, first, data = (batch.column(c).to_pylist() for c in ("gram", "distance", *_KEY, "first", "data"))
+        for row in map(_Stretch, gram, distance, zip(key_a, key_b), first, data):
             if size > _PART and row.gram != held[-1].gram:
                 yield held
                 held, size = [], 0
@@ -282,18 +283,18 @@ def _span_batch(group: list[_Stretch], window: int) -> pa.RecordBatch:
             keys.append(s.key)
             firsts.append(s.first + a)
             lasts.append(s.first + b + window)
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(firsts, pa.int64()), pa.array(lasts, pa.int64())], ["text_key", "first", "last"])
+    key_a, key_b = zip(*keys) if keys else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (key_a, key_b, firsts, lasts)], [*_KEY, "first", "last"])
 
 
 def _windows(window: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, first, data in zip(*(batch.column(c).to_pylist() for c in ("text_key", "first", "data"))):
+            for key_a, key_b, first, data in zip(*(batch.column(c).to_pylist() for c in (*_KEY, "first", "data"))):
                 n = len(data) - window + 1
                 hashes = [xxhash.xxh3_128_digest(data[i : i + window]) for i in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes, pa.binary()), pa.array([key] * n, pa.binary()), pa.array(range(first, first + n), pa.int64())], ["hash", "text_key", "first"]
-                )
+                numbers = [pa.array(c, pa.int64()) for c in ([key_a] * n, [key_b] * n, range(first, first + n))]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary()), *numbers], ["hash", *_KEY, "first"])
 
     return windows
 
@@ -315,43 +316,47 @@ def repeated_spans(
     if not 0 < gram <= window:
         raise ValueError("gram must be in 1..window")
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8")
-    keyed = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
+    keyed = docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
+        "*", F.xxhash64("text").alias("key_a"), F.xxhash64(F.lit(1), "text").alias("key_b")
+    )
     kind = keyed.schema["id"].dataType.simpleString()
-    scan = cut(keyed.mapInArrow(_scan(window, gram), f"id {kind}, text_key binary, n_bytes long, sha256 string, anchors {_ANCHORS}"))
+    lists = "gram array<long>, distance array<int>, first array<int>, last array<int>"
+    scan = cut(keyed.mapInArrow(_scan(window, gram), f"id {kind}, key_a long, key_b long, n_bytes long, sha256 binary, {lists}"))
 
-    texts = scan.select("text_key", "anchors").dropDuplicates(["text_key"])
-    places = texts.select("text_key", F.inline("anchors"))
-    shared = places.groupBy("gram").agg(F.count("*").alias("places")).filter("places > 1")
-    entry = F.struct("gram", "places", "distance", "first", "last")
+    places = scan.select(*_KEY, *_ANCHORS).dropDuplicates(_KEY).select(*_KEY, F.inline(F.arrays_zip(*_ANCHORS)))
+    shared = cut(places.groupBy("gram").agg(F.count("*").alias("places")).filter("places > 1"))
     # of one text, so no longer than the text
-    anchors = places.join(shared, "gram").groupBy("text_key").agg(F.collect_list(entry).alias("anchors"))
-    hot = cut(keyed.select("text_key", "text").dropDuplicates(["text_key"]).join(anchors, "text_key"))
+    entries = F.collect_list(F.struct("gram", "places", "distance", "first", "last")).alias("anchors")
+    anchors = places.join(shared, "gram").groupBy(*_KEY).agg(entries)
+    texts = keyed.select(*_KEY, "text").dropDuplicates(_KEY)
 
-    stretches = hot.mapInArrow(
-        lambda batches: _stretches(batches, window), "gram long, places long, distance int, text_key binary, first long, data binary"
+    stretches = texts.join(anchors, _KEY).mapInArrow(
+        lambda batches: _stretches(batches, window), "gram long, places long, first long, key_a long, key_b long, distance int, data binary"
     )
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    span = "text_key binary, first long, last long"
-    few = stretches.filter(F.col("places") <= cell).repartition(n, "gram").sortWithinPartitions("gram")
+    span = "key_a long, key_b long, first long, last long"
+    few = stretches.filter(F.col("places") <= cell).drop("places").repartition(n, "gram").sortWithinPartitions("gram")
     spans = few.mapInArrow(_repeats(window, digit), span)
     if shared.filter(F.col("places") > cell).limit(1).count():
-        windows = stretches.filter(F.col("places") > cell).mapInArrow(_windows(window), "hash binary, text_key binary, first long")
-        place = F.struct("text_key", "first")
+        many = stretches.filter(F.col("places") > cell)
+        windows = cut(many.mapInArrow(_windows(window), "hash binary, key_a long, key_b long, first long"))
+        place = F.struct(*_KEY, "first")
         again = windows.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a < b").select("hash")
-        more = windows.join(again, "hash", "left_semi").select("text_key", "first", (F.col("first") + window).alias("last"))
+        more = windows.join(again, "hash", "left_semi").select(*_KEY, "first", (F.col("first") + window).alias("last"))
         spans = spans.unionByName(more)
 
-    by_text = spans.groupBy("text_key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    kept = hot.select("text_key", "text").join(by_text, "text_key").mapInArrow(_kept, f"text_key binary, spans {_SPANS}, kept_sha256 string")
-    copies = scan.groupBy("text_key").agg(F.count("*").alias("copies"))
-    by_key = copies.join(kept, "text_key", "left")
+    by_text = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    kept = texts.join(by_text, _KEY).mapInArrow(_kept, f"key_a long, key_b long, spans {_SPANS}, kept_sha256 binary")
+    copies = scan.groupBy(*_KEY).agg(F.count("*").alias("copies"))
+    by_key = copies.join(kept, _KEY, "left")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= window)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("n_bytes").alias("last")))
-    return scan.join(by_key, "text_key").select(
+    kept_sha = F.lower(F.hex(F.when(gone, F.lit(_EMPTY_SHA)).otherwise(F.coalesce("kept_sha256", "sha256"))))
+    return scan.select("id", *_KEY, "n_bytes", "sha256").join(by_key, _KEY).select(
         F.col("id").alias(id_col),
         "n_bytes",
         F.when(gone, whole).otherwise(F.coalesce("spans", F.array().cast(_SPANS))).alias("spans"),
-        F.when(gone, F.lit(_EMPTY_SHA)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
+        kept_sha.alias("kept_sha256"),
     )
 
 
@@ -372,5 +377,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = run["last"]
             rest.update(text[at:])
             runs.append(own)
-            digests.append(rest.hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(runs, kind), pa.array(digests)], ["text_key", "spans", "kept_sha256"])
+            digests.append(rest.digest())
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in _KEY), pa.array(runs, kind), pa.array(digests, pa.binary())], [*_KEY, "spans", "kept_sha256"]
+        )
