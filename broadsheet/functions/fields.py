@@ -30,9 +30,13 @@ def iso_text(ts: Column) -> Column:
 
 
 def ingest_date(fetched_at: Column | str = "fetched_at") -> Column:
-    """UTC day of an ISO fetch time; today when the text holds none."""
-    day = F.substring(_col(fetched_at), 1, 10).try_cast("date")
-    return F.coalesce(day, F.to_date(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())))
+    """UTC day of an ISO fetch time; one that cannot be read makes the job fail.
+
+    Any day made up for it would differ between a run and its replay.
+    """
+    given = _col(fetched_at)
+    day = F.substring(given, 1, 10).try_cast("date")
+    return F.coalesce(day, F.raise_error(F.concat(F.lit("no fetch time: "), F.coalesce(given, F.lit("null")))).cast("date"))
 
 
 def truthy(*cols: Column) -> Column:

@@ -87,11 +87,13 @@ def merge_daily(articles: DataFrame, path: str, days: list | None = None) -> Non
 
     Only the days of the batch are read, and only new rows are written. Running
     the same batch again, or after a half-finished run, adds what is missing and
-    nothing twice. ``days`` spares a pass over the batch where they are known.
+    nothing twice. An unreadable fetch time makes it fail before anything is written.
+    ``days`` spares a pass over the batch where they are known.
     """
     days = batch_days(articles) if days is None else days
     if not days:
         return
     existing = read_daily(articles.sparkSession, path).filter(F.col("ingest_date").isin(days))
-    fresh = new_for_day(daily_batch(articles), existing)
+    # a day's rows meet in few tasks, and so in few files; a large day is split
+    fresh = new_for_day(daily_batch(articles), existing).hint("rebalance", "ingest_date")
     fresh.write.mode("append").partitionBy("ingest_date").parquet(path)

@@ -27,10 +27,16 @@ from broadsheet.streaming.collect import collect_batch
 
 
 def collect(
-    spark: SparkSession, landing: str, table: str, descriptors: DataFrame, newsapi_key_set: bool = True
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    descriptors: DataFrame,
+    newsapi_key_set: bool = True,
+    after: str | None = None,
+    before: str | None = None,
 ) -> DataFrame:
-    """Everything that has landed, into the daily table; returns the articles, each url once."""
-    return collect_batch(read_landing(spark, landing), descriptors, table, newsapi_key_set)
+    """Everything that has landed, or in a range of time, into the daily table; returns the articles, each url once."""
+    return collect_batch(read_landing(spark, landing, after, before), descriptors, table, newsapi_key_set)
 
 
 def preprocess(articles: DataFrame, dataset: str) -> bool:
@@ -39,7 +45,9 @@ def preprocess(articles: DataFrame, dataset: str) -> bool:
 
 
 def preprocess_raw_files(spark: SparkSession, raw: str, dataset: str) -> bool:
-    articles, _ = scan_raw_articles(spark, raw)
+    """Import daily JSON files; what cannot be read is written to ``<dataset>_rejects``."""
+    articles, rejects = scan_raw_articles(spark, raw)
+    rejects.write.mode("overwrite").parquet(f"{dataset.rstrip('/')}_rejects")
     return preprocess(articles, dataset)
 
 

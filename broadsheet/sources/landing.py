@@ -17,8 +17,14 @@ from broadsheet.functions.fields import iso_text
 LANDING_SCHEMA = "value string, source_type string, source_key string"
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    return _stamped(spark.read.format("text").option("wholetext", True).schema(LANDING_SCHEMA).load(path))
+def read_landing(spark: SparkSession, path: str, after: str | None = None, before: str | None = None) -> DataFrame:
+    """All payloads, or those that landed within the session's times ``after`` and ``before`` (ISO)."""
+    reader = spark.read.format("text").option("wholetext", True).schema(LANDING_SCHEMA)
+    if after:
+        reader = reader.option("modifiedAfter", after)
+    if before:
+        reader = reader.option("modifiedBefore", before)
+    return _stamped(reader.load(path))
 
 
 def stream_landing(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

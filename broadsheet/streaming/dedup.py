@@ -13,7 +13,8 @@ def stream_dedup(df: DataFrame, key: str = "url", ts: str = "fetched_ts", within
     later than that are dropped; ``start_collect`` is the form that keeps all.
     The first of the two steps thins out a repeated key where it was read, so a
     key that fills a third of a batch reaches the second step ``salts`` times at
-    most. ``salts=1`` leaves that step out.
+    most. ``salts=1`` leaves that step out. Of rows that arrive in one micro-batch any
+    may stay: arrival tells batches apart, not rows. ``dedup_url`` orders rows.
     """
     marked = df.withWatermark(ts, within)
     if salts > 1:

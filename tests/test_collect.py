@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.functions import article_uid, fetched_at_now
@@ -108,11 +109,13 @@ def test_merge_reads_only_the_days_of_the_batch(spark, tmp_path):
     assert "ReadSchema: struct<url:string>" in plan
 
 
-def test_ingest_date_of_unreadable_time_is_today(spark):
-    df = spark.createDataFrame([("2024-05-06T23:59:59.5",), ("",), (None,)], "fetched_at string")
-    days = [r.ingest_date for r in with_ingest_date(df).collect()]
-    today = spark.sql("SELECT current_date() AS d").collect()[0].d
-    assert str(days[0]) == "2024-05-06" and set(days[1:]) == {today}
+def test_ingest_date(spark):
+    df = spark.createDataFrame([("soon",), (None,)], "fetched_at string")
+    good = spark.createDataFrame([("2024-05-06T23:59:59",)], "fetched_at string")
+    assert str(with_ingest_date(good).first().ingest_date) == "2024-05-06"
+    for stamp in ("fetched_at = 'soon'", "fetched_at IS NULL"):
+        with pytest.raises(Exception, match="no fetch time"):
+            with_ingest_date(df.filter(stamp)).collect()
 
 
 def test_uid_and_stamp(spark):
@@ -121,3 +124,26 @@ def test_uid_and_stamp(spark):
     assert all(r.uid == hashlib.sha256(r.url.encode()).hexdigest()[:16] for r in df.collect())
     stamp = spark.range(1).select(fetched_at_now().alias("t")).collect()[0].t
     assert len(stamp) in (19, 26) and stamp[10] == "T"
+
+
+def test_replay_with_an_unreadable_stamp_writes_nothing(spark, tmp_path):
+    from broadsheet.schema import ARTICLE_SCHEMA
+
+    row = ("t", "b", "u", "s", "", "", {}, "not a time")
+    articles = spark.createDataFrame([row], ARTICLE_SCHEMA).selectExpr("*", "0 AS source_ord", "0 AS feed_ord", "0 AS pos")
+    for _ in range(2):
+        with pytest.raises(Exception, match="no fetch time"):
+            merge_daily(articles, str(tmp_path / "daily"))
+    assert not (tmp_path / "daily").exists()
+
+
+def test_a_day_goes_to_few_files(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 16).select(
+        F.lit("t").alias("title"), F.lit("b").alias("body"), F.concat(F.lit("u"), "id").alias("url"), F.lit("s").alias("source"),
+        F.lit("").alias("published_at"), F.lit("").alias("author"), F.create_map().cast("map<string,string>").alias("metadata"),
+        F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string"), F.lit("T00:00:00")).alias("fetched_at"),
+        F.lit(0).alias("source_ord"), F.lit(0).alias("feed_ord"), F.col("id").alias("pos"),
+    )
+    merge_daily(rows, str(tmp_path / "daily"))
+    files = list((tmp_path / "daily").glob("ingest_date=*/*.parquet"))
+    assert len(files) == 3 and spark.read.parquet(str(tmp_path / "daily")).count() == 400

@@ -168,6 +168,28 @@ def test_feeds(spark):
     assert df.columns == [*ARTICLE_SCHEMA.fieldNames(), "source_ord", "feed_ord", "pos"]
 
 
+def test_faulty_feeds_keep_their_items(spark):
+    item = "<item><title>{}</title><link>http://f/{}</link></item>"
+    faulty = [
+        "\n  \ufeff<?xml version='1.0'?><rss><channel><title>Blanks</title>" + item.format("a", 1) + "</channel></rss>",
+        "<rss><channel><title>Names&nbsp;here</title>" + item.format("x&nbsp;y &eacute; AT&T &amp; z", 2) + "</channel></rss>",
+        "<rss><channel><title>Torn</title>" + item.format("b", 3) + item.format("c", 4) + "<item><title>half",
+        '<atom:feed xmlns:atom="http://www.w3.org/2005/Atom"><atom:title>P</atom:title><atom:entry><atom:title>d</atom:title>'
+        '<atom:link href="http://f/5"/><atom:summary>s</atom:summary></atom:entry></atom:feed>',
+        '<feed><title>Torn too</title><entry><title>e</title><link href="http://f/6"/></entry><entry><title>f</tit',
+        "<rss><channel><title>No items",
+    ]
+    rows = {r["url"]: (r["title"], r["source"], r["pos"]) for r in as_dicts(rss_articles(payloads(spark, *faulty, key="k")))}
+    assert rows == {
+        "http://f/1": ("a", "Blanks", 0),
+        "http://f/2": ("x\u00a0y é AT&T & z", "Names\u00a0here", 0),
+        "http://f/3": ("b", "Torn", 0),
+        "http://f/4": ("c", "Torn", 1),
+        "http://f/5": ("d", "P", 0),
+        "http://f/6": ("e", "Torn too", 0),
+    }
+
+
 # -- descriptors ----------------------------------------------------------------------
 
 
