@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -24,7 +23,7 @@ from broadsheet.llm.common import cut, fresh
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-CERTAINTY = 0.999
+CERTAINTY = 0.99
 # Templates are searched for in rounds of so many.
 ROUND = 64
 _LONGS = "array<bigint>"
@@ -58,7 +57,7 @@ TEMPLATES = {
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^a-z0-9\x{80}-\x{10FFFF}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^a-z0-9\x{80}-\x{10FFFF}]+"), "")
 
 
 def shingles_of(words: Column) -> Column:
@@ -83,19 +82,26 @@ def band_count(n: int, containment: float = CONTAINMENT, certainty: float = CERT
     return math.ceil(math.log(1 - certainty) / math.log(1 - similar))
 
 
-def _masks(tier: int, bands: int) -> list[int]:
+def _masks(bands: int) -> list[int]:
     """Hashes are uniform, so comparing them after flipping fixed bits is another order of them."""
-    return [int(x) for x in np.random.default_rng(tier).integers(-(1 << 63), (1 << 63) - 1, bands)]
+    return [int(x) for x in np.random.default_rng(0).integers(-(1 << 63), (1 << 63) - 1, bands)]
 
 
-def _blocks(shingles: Column, tier: int) -> Column:
-    starts = F.sequence(F.lit(1), F.greatest(F.size(shingles), F.lit(1)), F.lit(tier))
-    return F.transform(starts, lambda at: F.slice(shingles, at, tier))
+# Many columns of one shape: written as SQL, which is built much faster than by calls.
 
 
-def _least(blocks: Column, mask: int) -> Column:
-    """Each block's minimum in the order of ``mask``."""
-    return F.transform(blocks, lambda block: F.array_min(F.transform(block, lambda h: h.bitwiseXOR(F.lit(mask)))))
+def _block_minima(shingles: str, tier: int, mask: int) -> str:
+    """Of every block of ``tier`` shingles, the minimum in the order of ``mask``."""
+    if tier == 1:
+        return f"transform(`{shingles}`, h -> h ^ ({mask}L))"
+    starts = f"sequence(1, greatest(size(`{shingles}`), 1), {tier})"
+    return f"transform({starts}, at -> array_min(transform(slice(`{shingles}`, at, {tier}), h -> h ^ ({mask}L))))"
+
+
+def _joined_minima(least: str) -> str:
+    """The minima of blocks twice as long."""
+    pairs = f"sequence(0, greatest(size(`{least}`) - 1, 0), 2)"
+    return f"transform({pairs}, i -> least(get(`{least}`, i), get(`{least}`, i + 1)))"
 
 
 def template_rounds(templates: DataFrame, id_col: str, text_col: str, round_size: int) -> Iterator[list[tuple[str, list[int]]]]:
@@ -113,10 +119,6 @@ def template_rounds(templates: DataFrame, id_col: str, text_col: str, round_size
         yield held
 
 
-def _minima(shingles: list[int], masks: list[int]) -> list[int]:
-    return [min(h ^ m for h in shingles) for m in masks]
-
-
 def find_licenses(
     docs: DataFrame,
     templates: DataFrame,
@@ -149,24 +151,21 @@ def find_licenses(
     return found.select(*base, F.array_sort(F.concat(none, *parts)).alias(out))
 
 
-def _retrieved(least: Column, tier: int, owners: dict[int, list[int]]) -> Column:
+def _retrieved(least: str, tier: int, owners: dict[int, list[int]]) -> str:
     """(number, window) of the templates that a window meets in one band.
 
-    ``least`` are the minima of the blocks, ``owners`` the templates of each minimum.
+    ``least`` are the minima of the blocks, ``owners`` the templates of each minimum. A
+    window's minimum is one of its two blocks', so most texts are passed over at once.
     """
-    windows = least if tier == 1 else F.transform(least, lambda low, at: F.least(low, F.get(least, at + 1)))
-    keys = F.lit(list(owners)).cast(_LONGS)
-    numbers = F.create_map(*(x for k, own in owners.items() for x in (F.lit(k), F.array(*(F.lit(i) for i in own)))))
-    placed = F.filter(
-        F.transform(windows, lambda key, at: F.struct((at * tier).alias("window"), key.alias("key"))), lambda w: F.array_contains(keys, w["key"])
-    )
-    listed = F.flatten(
-        F.transform(
-            placed,
-            lambda w: F.transform(F.element_at(numbers, w["key"]), lambda i: F.struct(i.alias("number"), w["window"].alias("window"))),
-        )
+    keys = ", ".join(f"{k}L" if k >= 0 else f"({k}L)" for k in owners)
+    numbers = ", ".join(f"({k}L), array({', '.join(map(str, own))})" for k, own in owners.items())
+    window = f"`{least}`" if tier == 1 else f"transform(`{least}`, (low, at) -> least(low, get(`{least}`, at + 1)))"
+    placed = f"filter(transform({window}, (k, at) -> named_struct('window', at * {tier}, 'key', k)), w -> array_contains(array({keys}), w.key))"
+    listed = f"transform(element_at(map({numbers}), w.key), i -> named_struct('number', i, 'window', w.window))"
+    return (
+        f"CASE WHEN arrays_overlap(`{least}`, array({keys})) THEN flatten(transform({placed}, w -> {listed})) "
+        "ELSE cast(array() AS array<struct<number:int,window:int>>) END"
     )
-    return F.when(F.arrays_overlap(windows, keys), listed).otherwise(F.array().cast("array<struct<number:int,window:int>>"))
 
 
 def _one_round(
@@ -175,25 +174,32 @@ def _one_round(
     tiers: dict[int, list[int]] = {}
     for i, (_, own) in enumerate(templates):
         tiers.setdefault(tier_of(len(own)), []).append(i)
-    blocks, least, hits_of = {}, {}, []
-    for tier, members in sorted(tiers.items()):
-        (cut_up,) = fresh(found, f"blocks_{tier}")
-        if tier > 1:
-            blocks[cut_up] = _blocks(F.col(shingles), tier)
-        masks = _masks(tier, max(band_count(len(templates[i][1]), containment, certainty) for i in members))
-        minima = {i: _minima(templates[i][1], masks) for i in members}
-        for band, mask in enumerate(masks):
-            (low,) = fresh(found, f"least_{tier}_{band}")
-            least[low] = F.transform(shingles, lambda h: h.bitwiseXOR(F.lit(mask))) if tier == 1 else _least(F.col(cut_up), mask)  # noqa: B023
+    bands = {
+        tier: max(band_count(len(templates[i][1]), containment, certainty) for i in members) for tier, members in tiers.items()
+    }
+    masks = _masks(max(bands.values()))
+    hits_of, temporary, least, below = [], [], [], 0
+    for tier in sorted(tiers):
+        # tiers that double each other share their bands, and minima come from the tier below
+        chain = [tier]
+        while 2 * chain[-1] in tiers:
+            chain.append(2 * chain[-1])
+        wanted = max(bands[t] for t in chain)
+        if below > 1 and tier == 2 * below:
+            columns = [_joined_minima(c) for c in least[:wanted]]
+        else:
+            columns = [_block_minima(shingles, tier, mask) for mask in masks[:wanted]]
+        least, below = fresh(found, *(f"least_{tier}_{band}" for band in range(wanted))), tier
+        # one wide projection a tier
+        found = found.withColumns({name: F.expr(c) for name, c in zip(least, columns)})
+        temporary += least
+        for band in range(bands[tier]):
             owners: dict[int, list[int]] = {}
-            for i in members:
-                owners.setdefault(minima[i][band], []).append(i)
-            hits_of.append(_retrieved(F.col(low), tier, owners))
-    # a few wide projections: each is analysed once
-    found = found.withColumns(blocks).withColumns(least)
-    temporary = [*blocks, *least]
+            for i in tiers[tier]:
+                owners.setdefault(min(h ^ masks[band] for h in templates[i][1]), []).append(i)
+            hits_of.append(F.expr(_retrieved(least[band], tier, owners)))
     (hits,) = fresh(found, "hits")
-    found = found.withColumn(hits, reduce(lambda a, b: F.concat(a, b), hits_of))
+    found = found.withColumn(hits, F.concat(*hits_of))
     verified = []
     for i, (name, own) in enumerate(templates):
         mine = F.filter(hits, lambda h: h["number"] == i)
