@@ -31,7 +31,7 @@ UNKNOWN = "und"
 PREDICTION = "lang_pred string, score double, bits_per_byte double, rejected boolean"
 
 _PAD = b"\n" * ORDER
-_BLOCK = 1 << 18
+_BLOCK = 1 << 16
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
 
@@ -86,18 +86,18 @@ def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 
 def _grams(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """Every byte behind its ``ORDER`` predecessors, a few megabytes of text at a time."""
+    """Every byte behind its ``ORDER`` predecessors, half a megabyte of text at a time."""
     parts, size = [], 0
     for text in texts:
         padded = _PAD + text
-        for at in range(0, len(text), 1 << 20):
-            data = np.frombuffer(padded, np.uint8)[at : at + (1 << 20) + ORDER].astype(np.uint64)
+        for at in range(0, len(text), _BLOCK):
+            data = np.frombuffer(padded, np.uint8)[at : at + _BLOCK + ORDER].astype(np.uint64)
             gram = np.zeros(len(data) - ORDER, np.uint64)
             for i in range(ORDER + 1):
                 gram = gram << np.uint64(8) | data[i : len(data) - ORDER + i]
             parts.append(gram)
             size += len(gram)
-            if size > 1 << 21:
+            if size > 1 << 19:
                 yield np.concatenate(parts)
                 parts, size = [], 0
     if size:
@@ -177,7 +177,7 @@ class PpmTables:
     def __init__(self, model: PpmModel):
         ends = [model.byte, *((model.context[model.length > i] >> 8 * i) & 255 for i in range(ORDER))]
         seen = np.unique(np.concatenate(ends))
-        self.classes = np.zeros(256, np.int64)
+        self.classes = np.zeros(256, np.int32)
         self.classes[seen] = np.arange(len(seen)) + 1
         self.width = len(seen) + 1
         each = np.ones(self.width)
@@ -187,7 +187,7 @@ class PpmTables:
         below = np.array([number[(k - 1, _shorter(k, c))] if k else 0 for k, c in states])
         lengths = np.array([k for k, _ in states])
 
-        self.step = np.zeros((len(states), self.width), np.int64)
+        self.step = np.zeros((len(states), self.width), np.int32)
         for k in range(ORDER + 1):
             here = np.flatnonzero(lengths == k)
             self.step[here] = self.step[below[here]] if k else 0
@@ -215,7 +215,7 @@ class PpmTables:
         for at in range(0, len(text), _BLOCK):
             data = self.classes[padded[at : at + _BLOCK + ORDER]]
             n = len(data) - ORDER
-            state = np.zeros(n, np.int64)
+            state = np.zeros(n, np.int32)
             for i in range(ORDER):
                 state = self.step[state, data[i : i + n]]
             total += self.bits[state, data[ORDER:]].sum(axis=0, dtype=np.float64)
