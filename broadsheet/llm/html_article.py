@@ -46,7 +46,9 @@ _BOILERPLATE_WORDS = set(
 _ARTICLE_TAGS = {"article", "main"}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>",
+    # a self-closed svg is empty and is tried first; behind a raw element's name its tag goes on or ends
+    rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^\"'>/]|/(?!>)|\"[^\"]*+\"|'[^']*+')*+/>|<({_RAW})(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    rf"|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)

@@ -51,6 +51,15 @@ def test_short_articles_among_other_text(inner):
     assert main_text(page) == "Title here\nShort, but all there is."
 
 
+@pytest.mark.parametrize(
+    "icon",
+    ['<svg class="i"/>', "<svg/>", '<svg data-x="a > b" />', '<svg-icon name="x"></svg-icon>', "<svg-icon />", "<title-bar></title-bar>", "<svg><title>t</title><path d='x'/></svg>"],
+)
+def test_icons_do_not_end_the_article(icon):
+    page = f"<body><article><p>One, and more.</p>{icon}<p>Two, and more.</p></article></body>"
+    assert main_text(page) == "One, and more.\nTwo, and more."
+
+
 def test_broken_pages_never_fail():
     for page in ("", "<", "<p", "a < b & c", "<p>x</q></p></p>", "<!-- open", "<script>x", "</div>", "<a href='>x", "&#x110000; &#0; &bogus;", "<p>" * 3000 + "deep"):
         main_text(page)
