@@ -3,10 +3,11 @@
 Every text gives its spans by pattern (``base``), and besides them candidates: long runs of
 key characters with both letters and digits in them. A candidate's value is hashed, and
 Spark counts over the whole corpus in how many distinct repositories and at how many
-distinct owners it stands. A value at one owner only looks like a live credential of its
-owner and is added as kind ``owned``; one that several owners carry is a copied
-example, sample or identifier and is not. Base spans stay whatever their counts are, with
-the verdict beside them. Native functions only.
+distinct owners it stands. Copies of one document are one repository. A value that several
+owners carry in several repositories is a copied example, sample or identifier, and so is
+one in many repositories whoever owns them; any other looks like a live credential of its
+owner and is added as kind ``owned``. Base spans stay whatever their counts are, with the
+verdict beside them. Native functions only.
 """
 
 from __future__ import annotations
@@ -47,7 +48,10 @@ BASE = (
 OWNED = "owned"
 # Whole runs of 16 or more key characters; only those with a letter and a digit count.
 CANDIDATE = Pattern(OWNED, r"([A-Za-z0-9+/_-]{16,})", 1, 16)
+# A value beyond both of the first two bounds, or beyond the third, is a copied example.
 MAX_OWNERS = 1
+MAX_REPOS = 1
+MANY_REPOS = 20
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
@@ -129,30 +133,37 @@ def scan_secrets(
     text_col: str = "text",
     owner_col: str = "source",
     max_owners: int = MAX_OWNERS,
+    max_repos: int = MAX_REPOS,
+    many_repos: int = MANY_REPOS,
 ) -> DataFrame:
     """(id, text_key, base, spans, n_copied), one row per row of ``docs``.
 
     ``base`` and ``spans`` are arrays of (start, rank, kind, end), code points, end exclusive,
     sorted; ``spans`` are the base ones and the ``owned`` ones that touch no base span.
-    ``n_copied`` counts spans and candidates whose value more than ``max_owners`` owners carry.
-    ``text_key`` is the text's MD5, by which the spans can be joined to texts again.
-
-    A document is a repository, its ``owner_col`` the owner. A null text is an empty one. A
-    null owner is no owner, so a value at null owners only is owned. Rows come back as
-    often as they went in; an empty table stays empty.
+    ``n_copied`` counts spans and candidates whose value is copied: more than ``max_owners``
+    owners carry it in more than ``max_repos`` repositories, or it stands in more than
+    ``many_repos`` repositories. ``text_key`` is the text's MD5, by which the spans can be
+    joined to texts again.
+
+    A distinct text is a repository, its documents' ``owner_col`` the owners. A null text is an
+    empty one. A null owner is no owner, so a value at null owners only is owned until it
+    stands in many repositories. Rows come back as often as they went in; an empty table stays
+    empty.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = cut(
         docs.select(
-            F.col(id_col).alias("repo"),
+            F.col(id_col).alias("id"),
             F.col(owner_col).alias("owner"),
             F.md5(text.cast("binary")).alias("text_key"),
             scan_spans(text).alias("found"),
         )
     )
     hashes = F.array_distinct(F.transform(F.concat("found.base", "found.more"), lambda s: s["hash"]))
-    values = found.select("repo", "owner", "text_key", F.explode(hashes).alias("value")).distinct()
-    copied = ownership(values).filter(F.col("n_owners") > max_owners).select("value")
+    values = found.select("owner", "text_key", F.explode(hashes).alias("value")).distinct()
+    several = (F.col("n_owners") > max_owners) & (F.col("n_repos") > max_repos)
+    counted = ownership(values.withColumnRenamed("text_key", "repo"))
+    copied = counted.filter(several | (F.col("n_repos") > many_repos)).select("value")
     # of one text, so no longer than the text
     by_text = (
         values.select("text_key", "value")
@@ -168,7 +179,7 @@ def scan_secrets(
     clear = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     owned = F.filter(more, lambda s: ~is_copied(s) & clear(s))
     return found.join(by_text, "text_key", "left").select(
-        F.col("repo").alias(id_col),
+        F.col("id").alias(id_col),
         "text_key",
         F.transform(base, listed).alias("base"),
         F.array_sort(F.transform(F.concat(base, owned), listed)).alias("spans"),
@@ -207,6 +218,8 @@ def mask_secrets(
     text_col: str = "text",
     owner_col: str = "source",
     max_owners: int = MAX_OWNERS,
+    max_repos: int = MAX_REPOS,
+    many_repos: int = MANY_REPOS,
 ) -> DataFrame:
     """``docs`` with every secret in ``text_col`` masked; all rows stay, null texts stay null.
 
@@ -214,7 +227,7 @@ def mask_secrets(
     text's MD5, and texts that have none keep what they are.
     """
     key, spans = fresh(docs, "text_key", "spans")
-    scanned = scan_secrets(docs, id_col, text_col, owner_col, max_owners).filter(F.size("spans") > 0)
+    scanned = scan_secrets(docs, id_col, text_col, owner_col, max_owners, max_repos, many_repos).filter(F.size("spans") > 0)
     by_text = scanned.groupBy(F.col("text_key").alias(key)).agg(F.min("spans").alias(spans))
     keyed = docs.withColumn(key, F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
     masked = mask(F.col(text_col), F.coalesce(F.col(spans), F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")))

@@ -59,6 +59,24 @@ def test_ownership_separates_copies_from_keys(spark):
     assert any(s.kind == "owned" for s in wider[4].spans)
 
 
+def test_repositories_and_owners_both_decide(spark):
+    value, many = "Zx9Qw8Er7Ty6Ui5Op4", secret_scan.MANY_REPOS
+    cases = {  # (text, owner) of the documents that hold the value, and whether it is copied
+        "one owner, few texts": ([(f"t{i}", "a") for i in range(many)], False),
+        "one owner, many texts": ([(f"t{i}", "a") for i in range(many + 1)], True),
+        "no owner, few texts": ([(f"t{i}", None) for i in range(many)], False),
+        "no owner, many texts": ([(f"t{i}", None) for i in range(many + 1)], True),
+        "one text of many copies at one owner": ([("t", "a")] * (many + 1), False),
+        "one text copied to a second owner": ([("t", "a"), ("t", "b")], False),
+        "two texts of two owners": ([("t", "a"), ("u", "b")], True),
+    }
+    for name, (held, copied) in cases.items():
+        docs = spark.createDataFrame([(i, f"{t} {value} end", s) for i, (t, s) in enumerate(held)], "doc_id long, text string, source string")
+        rows = secret_scan.scan_secrets(docs).collect()
+        assert {(r.n_copied, len(r.spans)) for r in rows} == {(1, 0) if copied else (0, 1)}, name
+        assert {value in r.text for r in secret_scan.mask_secrets(docs).collect()} == {copied}, name
+
+
 def test_masked_texts(spark):
     docs = spark.createDataFrame([(i, t, s, "k") for i, (t, s) in enumerate(TEXTS)], "doc_id long, text string, source string, text_key string")
     masked = secret_scan.mask_secrets(docs)
