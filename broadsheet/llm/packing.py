@@ -40,12 +40,16 @@ class WordTokenizer:
 
     The tokenizer never joins a space with a character before it, so a text may be cut
     before each space that follows something else than white space; the ids of the parts are
-    the ids of the text. Texts where a space follows white space are encoded whole.
+    the ids of the text. Texts where a space follows white space are encoded whole, and so
+    are those that hold the name of an added token, unless special ones are plain text.
     """
 
-    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS, encode_special_tokens: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are plain text
+        # whether the names of special tokens in a text are plain text
+        self.tokenizer.encode_special_tokens = encode_special_tokens
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if not (t.special and encode_special_tokens)]
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for word, i in vocabulary.items() if word.startswith("Ġ")]] = True
@@ -67,7 +71,7 @@ class WordTokenizer:
         for text in texts:
             words = text.split(" ")
             # an empty word or white space at its end: a space behind white space
-            if not text or any(not w or w[-1].isspace() for w in words):
+            if not text or any(a in text for a in self.added) or any(not w or w[-1].isspace() for w in words):
                 split.append(None)
                 continue
             split.append(words)
@@ -113,7 +117,8 @@ class WordTokenizer:
 
 @lru_cache(maxsize=1)
 def word_tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    """The tokenizer as its file gives it: the name of an added token is that token."""
+    return WordTokenizer(path, encode_special_tokens=False)
 
 
 def pack_power_of_two(

@@ -54,6 +54,14 @@ def test_words_encode_as_whole_texts(plain):
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_names_of_added_tokens_are_those_tokens(spark):
+    unchanged = Tokenizer.from_file(tokenizer_path())
+    texts = ["one two <|endoftext|> three", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "one two three", "<|endoftext |> x"]
+    assert [unchanged.encode(t, add_special_tokens=False).ids.count(50256) for t in texts] == [1, 1, 2, 0, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(packing.pack_power_of_two(docs, tokenizer_path()).collect(), dict(enumerate(texts)), unchanged)
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, no_docs, plain, tmp_path):
     pieces = packing.pack_power_of_two(odd_docs, tokenizer_path())
     rows = pieces.collect()
