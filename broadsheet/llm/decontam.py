@@ -82,7 +82,7 @@ class WuManber:
                 items |= names
                 spans.append((at + first, at + last))
             seen += len(block)
-            held = words[len(words) - longest + 1 :] if longest > 1 else []
+            held = words[max(0, len(words) - longest + 1) :] if longest > 1 else []
         return seen, items, merged(spans)
 
 

@@ -56,6 +56,14 @@ def test_blocks_of_a_long_text(monkeypatch):
     assert found.leaks(text.encode()) == want and len(want[2]) == 3
 
 
+@pytest.mark.parametrize("first", range(1, 10))
+def test_passage_across_a_block_of_few_words(monkeypatch, first):
+    item = [f"w{i}" for i in range(10)]
+    found = decontam.WuManber([("x", " ".join(item).encode())])
+    monkeypatch.setattr(decontam, "word_blocks", lambda data: iter([data.split()[:first], data.split()[first:]]))
+    assert found.leaks(" ".join([*item, "end"]).encode()) == (11, {"x"}, [(0, 10)])
+
+
 def test_rounds_over_many_items(spark, odd_docs):
     items = spark.createDataFrame([(i, f"{w} one two three four five six seven eight nine") for i, w in enumerate("abc")] + [(None, "one"), (9, None)], "item_id long, text string")
     docs = spark.createDataFrame([(1, "b one two three four five six seven eight nine; c One two three four five six seven eight NINE!", "x")], "doc_id long, text string, leak string")
