@@ -4,8 +4,12 @@ Every language has a byte context tree of up to ``ORDER`` bytes, counted by Spar
 all labelled texts. A byte's code length under a language is exact: the longest known
 context codes it, or escapes (method C: as many escapes as distinct bytes seen) to the
 next shorter one, which codes it among the bytes not excluded so far, down to 256 equal
-bytes. The statistics are frozen, so a context's code lengths are a fixed row of a table,
-and reading a text is walking an automaton whose state is the longest known context.
+bytes. The statistics are frozen.
+
+``judge_languages`` uses every context of every language. The counts are a stored Spark
+table; the distinct grams of the texts, a part of the texts at a time, are joined with it
+and come back with their code lengths. ``train_ppm`` and ``predict_language`` are the form for
+a model that is to be small: its most frequent contexts, as an automaton in memory.
 
 The language with the shortest code wins; ties go to the name that sorts first.
 """
@@ -21,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from broadsheet.llm.common import cut, utf8
+from broadsheet.llm.common import cut, fresh, utf8
 
 ORDER = 4
 MAX_CONTEXTS = 16_384
@@ -30,6 +35,10 @@ MAX_CELLS = 40_000_000
 UNKNOWN = "und"
 PREDICTION = "lang_pred string, score double, bits_per_byte double, rejected boolean"
 
+# Texts are scored in parts of about so many bytes, and so many grams of the tree meet at once.
+PART_BYTES = 32 << 20
+TREE_ROWS = 200_000
+
 _PAD = b"\n" * ORDER
 _BLOCK = 1 << 16
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -282,3 +291,171 @@ def _predicted(text: bytes | None, tables: PpmTables | None, languages: tuple[st
     best = int(np.argmin(bits))
     each = float(bits[best]) / len(text)
     return languages[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1074)).sum()), each, each >= 8
+
+
+# -- prediction with every context ------------------------------------------
+
+
+class PpmLevels:
+    """Code lengths of one language's grams, from whole counts.
+
+    A byte that a context has seen costs the same whatever the shorter contexts are. Any
+    other costs what it costs there and the context's escape, which is spread over what the
+    shorter one leaves.
+    """
+
+    def __init__(self, levels: list | None = None):
+        # by order: grams, their chances, contexts, bits of their escapes
+        self.levels = list(levels or ())
+
+    def add(self, grams: np.ndarray, n: np.ndarray) -> None:
+        """The next order, from grams that hold it at their ends."""
+        order = len(self.levels)
+        keys, where = np.unique(grams & _ends(order), return_inverse=True)
+        counts = np.bincount(where, n, len(keys))
+        contexts, where = np.unique(keys >> 8, return_inverse=True)
+        total = np.bincount(where, counts, len(contexts))
+        distinct = np.bincount(where, minlength=len(contexts))
+        escape = np.where(distinct < 256, distinct, 0)
+        chance = counts / (total + escape)[where]
+        if order:
+            shorter, known, *_ = self.levels[-1]
+            below = known[_found(shorter, keys & _ends(order - 1))[0]] if len(keys) else np.empty(0)
+        else:
+            below = np.full(len(keys), 1 / 256)
+        left = np.maximum(1 - np.bincount(where, below, len(contexts)), 1e-300)
+        with np.errstate(divide="ignore"):
+            bits = np.where(escape > 0, np.log2(left) - np.log2(escape / (total + escape)), 0.0)
+        self.levels.append((keys, chance, contexts, bits))
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        out = np.full(len(grams), 8.0)
+        for order, (keys, chance, contexts, escape) in enumerate(self.levels):
+            own = grams & _ends(order)
+            if len(keys):
+                at, known = _found(contexts, own >> 8)
+                out += np.where(known, escape[at], 0.0)
+                at, seen = _found(keys, own)
+                out = np.where(seen, -np.log2(chance[at]), out)
+        return out
+
+
+def _ends(order: int) -> np.int64:
+    return np.int64((1 << 8 * (order + 1)) - 1)
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def judge_languages(
+    docs: DataFrame,
+    learned: DataFrame,
+    out: str,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    columns: list[str] | None = None,
+    part_bytes: int = PART_BYTES,
+    tree_rows: int = TREE_ROWS,
+) -> DataFrame:
+    """``columns`` of ``docs`` (all if none are named) with a struct ``out`` of ``PREDICTION``, as ``predict_language`` has it.
+
+    Every context of up to ``ORDER`` bytes in the rows of ``learned`` counts, however many there are
+    and however rare its language is. Only orders 0 and 1, at most 65,536 counts a language,
+    are held in one place.
+    """
+    counted = cut(count_grams(learned, text_col, lang_col).filter(F.col("n") > 0))
+    pairs = counted.groupBy("lang", F.col("gram").bitwiseAND(F.lit(0xFFFF)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+    names = np.array(pairs.column("lang").to_pylist(), object)
+    languages = tuple(sorted(set(names.tolist())))
+    short: list[PpmLevels] = []
+    for lang in languages:
+        own = names == lang
+        short.append(PpmLevels())
+        for _ in range(2):
+            short[-1].add(pairs.column("gram").to_numpy()[own], pairs.column("n").to_numpy()[own])
+    shared = docs.sparkSession.sparkContext.broadcast((languages, short))
+
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    parts = max(1, -(-size // part_bytes))
+    (part,) = fresh(docs, "part")
+    row = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
+    dealt = docs.withColumn(part, F.pmod(row, F.lit(parts))).repartition(parts, part)
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            texts: dict[int, list[bytes]] = {}
+            for number, t in zip(batch.column(part).to_pylist(), utf8(batch.column(text_col))):
+                texts.setdefault(number, []).append(t.as_py() or b"")
+            for number, some in texts.items():
+                own = held.setdefault(number, [])
+                own += map(np.unique, _grams(some))
+                if len(own) > 16:
+                    held[number] = [np.unique(np.concatenate(own))]
+        for number, own in held.items():
+            grams = np.unique(np.concatenate(own)).astype(np.int64) if own else np.empty(0, np.int64)
+            for at in range(0, len(grams), 1 << 16):
+                some = grams[at : at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number)), pa.array(some)], ["part", "gram"])
+
+    # with all columns, so that one shuffle of the rows serves here and below
+    asked = dealt.mapInArrow(distinct, "part long, gram long")
+    # grams whose contexts end alike meet: they share all orders but 0 and 1
+    meets = max(16, -(-counted.count() // tree_rows), 2 * parts)
+    ends = F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))), F.lit(meets)).alias("ends")
+
+    def priced(tree: pa.Table, wanted: pa.Table) -> pa.Table:
+        languages, short = shared.value
+        grams, where = np.unique(wanted.column("gram").to_numpy(), return_inverse=True)
+        bits = np.empty((len(grams), len(languages)), np.float32)
+        lang = np.array(tree.column("lang").to_pylist(), object)
+        for i, name in enumerate(languages):
+            own = np.flatnonzero(lang == name)
+            model = PpmLevels(short[i].levels)
+            for _ in range(2, ORDER + 1):
+                model.add(tree.column("gram").to_numpy()[own], tree.column("n").to_numpy()[own])
+            bits[:, i] = model.bits(grams)
+        width = bits.shape[1] * 4
+        data = pa.py_buffer(bits[where].tobytes())
+        packed = pa.Array.from_buffers(pa.binary(width), len(where), [None, data]).cast(pa.binary())
+        return pa.table({"part": wanted.column("part"), "gram": wanted.column("gram"), "bits": packed})
+
+    columns = columns or docs.columns
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_byte", pa.float64()), ("rejected", pa.bool_())])
+
+    def judged(rows: pa.Table, known: pa.Table) -> pa.Table:
+        languages, _ = shared.value
+        grams = known.column("gram").to_numpy()
+        order = np.argsort(grams)
+        bits = np.frombuffer(b"".join(known.column("bits").to_pylist()), np.float32).reshape(len(grams), len(languages))
+        table = _Priced(grams[order], bits[order]) if languages else None
+        found = [_predicted(t.as_py(), table, languages) for t in utf8(rows.column(text_col).combine_chunks())]
+        names = ("lang_pred", "score", "bits_per_byte", "rejected")
+        return rows.select(columns).append_column(out, pa.array([dict(zip(names, r)) for r in found], kind))
+
+    priced_kind = "part long, gram long, bits binary"
+    if languages:
+        known = counted.select(ends, "lang", "gram", "n").groupBy("ends").cogroup(asked.select(ends, "part", "gram").groupBy("ends")).applyInArrow(priced, priced_kind)
+    else:
+        known = docs.sparkSession.createDataFrame([], priced_kind)
+    schema = docs.select(*(f"`{c}`" for c in columns)).schema.add(out, StructType.fromDDL(PREDICTION))
+    return dealt.groupBy(part).cogroup(known.groupBy("part")).applyInArrow(judged, schema)
+
+
+@dataclass(frozen=True, eq=False)
+class _Priced:
+    """Sorted grams with their bits under every language."""
+
+    grams: np.ndarray
+    bits: np.ndarray
+
+    def code_lengths(self, text: bytes) -> np.ndarray:
+        total = np.zeros(self.bits.shape[1])
+        for some in _grams([text]):
+            at, seen = _found(self.grams, some.astype(np.int64))
+            if not seen.all():
+                raise ValueError("a text's grams changed while it was scored")
+            total += self.bits[at].sum(axis=0, dtype=np.float64)
+        return total

@@ -48,9 +48,8 @@ def op3_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = langid.train_ppm(taught(docs))
-    found = docs.select("doc_id", held_out().alias("held_out"), langid.predict_language(docs, model).alias("found"))
-    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.bits_per_byte", "found.rejected")
+    found = langid.judge_languages(docs.select("doc_id", "text"), taught(docs), "found", columns=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "found.lang_pred", "found.score", "found.bits_per_byte", "found.rejected")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

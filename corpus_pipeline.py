@@ -19,8 +19,7 @@ from broadsheet.llm.queries import taught, tokenizer_path
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts that no learned language can code."""
     (found,) = fresh(docs, "found")
-    model = langid.train_ppm(taught(docs))
-    marked = docs.withColumn(found, langid.predict_language(docs, model))
+    marked = langid.judge_languages(docs, taught(docs), found)
     return marked.filter(~F.col(f"{found}.rejected")).select(*docs.columns)
 
 

@@ -99,6 +99,43 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs, model):
     assert all(r.p.rejected == (not any(c.isalpha() for c in r.text or "")) for r in rows)
 
 
+def test_a_rare_language_keeps_every_context(spark):
+    rng = np.random.default_rng(3)
+    big = ["".join(map(chr, rng.integers(97, 123, 30_000))) for _ in range(4)]
+    rare = ["Ελληνικά λόγια, σπάνια εδώ, με δικά τους γράμματα.", "big words, too"]
+    rows = [(i, t, "big") for i, t in enumerate(big)] + [(i, t, "rare") for i, t in enumerate(rare, 10)] + [(20, None, "big"), (21, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {}
+    for _, text, lang in rows:
+        padded = b"\n" * langid.ORDER + (text or "").encode()
+        for i in range(langid.ORDER, len(padded)):
+            for k in range(langid.ORDER + 1):
+                own = counts.setdefault(lang, {}).setdefault(padded[i - k : i], {})
+                own[padded[i]] = own.get(padded[i], 0) + 1
+    known = {c for by in counts.values() for c in by} | {b""}
+    assert len(known) > langid.MAX_CONTEXTS
+    asked = [*rare, "unseen Ελλ λόγια \U0001f600 zq", big[0][:2000], None, "", "12"]
+    texts = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    for part_bytes in (langid.PART_BYTES, 500):
+        found = langid.judge_languages(texts, docs, "found", part_bytes=part_bytes)
+        assert found.columns == ["doc_id", "text", "found"]
+        got = {r.doc_id: r.found for r in found.collect()}
+        assert got.keys() == set(range(len(asked))) and all(got[i].rejected and got[i].lang_pred == "und" for i in (4, 5, 6))
+        for i in range(4):
+            data = asked[i].encode()
+            want = {lang: plain_bits(counts[lang], known, data) for lang in ("big", "rare")}
+            assert got[i].lang_pred == min(want, key=want.get)
+            assert np.isclose(got[i].bits_per_byte * len(data), min(want.values()), rtol=1e-5)
+
+
+def test_odd_rows_with_every_context(spark, odd_docs, odd_rows, no_docs):
+    rows = langid.judge_languages(odd_docs, odd_docs, "p").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in rows) == sorted((r[0] or 0, r[1] or "") for r in odd_rows)
+    assert all((r.p.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")) for r in rows)
+    assert langid.judge_languages(no_docs, odd_docs, "p").count() == 0
+    assert {r.p.lang_pred for r in langid.judge_languages(odd_docs, no_docs, "p").collect()} == {"und"}
+
+
 def test_strange_text_is_rejected(spark, model):
     docs = spark.createDataFrame([("漢字仮名交じり文" * 30,), ("plain words of text",)], "text string")
     assert [r.p.rejected for r in docs.select(langid.predict_language(docs, model).alias("p")).collect()] == [True, False]
