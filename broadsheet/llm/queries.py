@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import decontam, html_article, langid, license_scan, packing, quality, secret_scan, sharding, simhash, suffix_dedup
+from broadsheet.llm import decontam, fim, html_article, langid, license_scan, packing, quality, secret_scan, sharding, simhash, suffix_dedup
 from broadsheet.llm.common import table
 
 FOLDS = 5
@@ -116,6 +116,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), "fim")
+    back = fim.restored(fim.rendered("text", "fim.pieces"), "fim.form")
+    return docs.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.col("fim.sha256").alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -129,6 +143,39 @@ QUERIES = {
         op8_secret_scan,
         op9_suffix_dedup,
         op10_license_scan,
+        op11_fill_in_middle,
     )
 }
-SQL: dict[str, str] = {}
+
+# Left to right, a unit is a run of letters or one other character. The output is taken apart again by its sentinels.
+_OP11 = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents
+), drawn AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u,
+        CAST('0x' || substr(s, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(s, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(s, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(s, 25, 8) AS BIGINT) AS h4
+    FROM docs
+), formed AS (
+    SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM formed
+), outputs AS (
+    SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS o FROM parts
+), found AS (
+    SELECT *, instr(o, '<P>') AS at_p, instr(o, '<S>') AS at_s, instr(o, '<M>') AS at_m FROM outputs
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(o) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN o
+        WHEN 'psm' THEN substr(o, at_p + 3, at_s - at_p - 3) || substr(o, at_m + 3) || substr(o, at_s + 3, at_m - at_s - 3)
+        ELSE substr(o, at_p + 3, at_m - at_p - 3) || substr(o, at_m + 3) || substr(o, at_s + 3, at_p - at_s - 3) END) AS restored_sha256
+FROM found
+"""
+
+SQL: dict[str, str] = {"op11_fill_in_middle": _OP11}
