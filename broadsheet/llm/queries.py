@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import decontam, fim, html_article, langid, license_scan, packing, quality, secret_scan, sharding, simhash, suffix_dedup
+from broadsheet.llm import decontam, fim, html_article, langid, license_scan, minhash, packing, phrases, quality, secret_scan, sharding, simhash, suffix_dedup
 from broadsheet.llm.common import table
 
 FOLDS = 5
@@ -130,6 +130,14 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -144,6 +152,8 @@ QUERIES = {
         op9_suffix_dedup,
         op10_license_scan,
         op11_fill_in_middle,
+        op12_phrase_collocations,
+        op13_minhash_near_dedup,
     )
 }
 
@@ -178,4 +188,42 @@ SELECT doc_id, n, form,
 FROM found
 """
 
-SQL: dict[str, str] = {"op11_fill_in_middle": _OP11}
+# Every run of one to four words of a piece; sums and products in 128 bits.
+_OP12 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+), words AS (
+    SELECT lang, w, CAST(len(w) AS BIGINT) AS size FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces)
+), totals AS (
+    SELECT lang, CAST(sum(size) AS BIGINT) AS n FROM words GROUP BY lang
+), starts AS (
+    SELECT lang, w, size, unnest(range(1, size + 1)) AS i FROM words
+), runs AS (
+    SELECT lang, w[i:i + k - 1] AS p FROM (SELECT lang, w, size, i, unnest([1, 2, 3, 4]) AS k FROM starts) WHERE i + k - 1 <= size
+), counts AS (
+    SELECT lang, p, CAST(count(*) AS BIGINT) AS f FROM runs GROUP BY lang, p HAVING count(*) >= 30
+), candidates AS (
+    SELECT lang, p, f AS a, len(p) AS size FROM counts WHERE len(p) > 1
+), cuts AS (
+    SELECT c.lang, c.p, c.a, c.k, h.f AS l, t.f AS r, CAST(2000000 AS HUGEINT) * c.a // (CAST(h.f AS HUGEINT) + t.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN counts h ON h.lang = c.lang AND h.p = c.p[1:c.k]
+    JOIN counts t ON t.lang = c.lang AND t.p = c.p[c.k + 1:c.size]
+), worst AS (
+    SELECT lang, p, a, l, r, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, p[i:i + k - 1] AS p, max(a) AS longer
+    FROM (SELECT lang, p, a, size, k, unnest(range(1, size - k + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS k FROM candidates)) GROUP BY ALL
+), ranked AS (
+    SELECT w.lang, array_to_string(w.p, ' ') AS phrase, w.a, w.l, w.r, CAST(w.score AS BIGINT) AS score
+    FROM worst w LEFT JOIN inside i ON i.lang = w.lang AND i.p = w.p
+    WHERE i.longer IS NULL OR CAST(100 AS HUGEINT) * i.longer < CAST(80 AS HUGEINT) * w.a
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM numbered JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op11_fill_in_middle": _OP11, "op12_phrase_collocations": _OP12}

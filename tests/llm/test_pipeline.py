@@ -7,7 +7,7 @@ import __spark_entry__
 def test_registered():
     names = __spark_entry__.queries()
     assert names.keys() >= {"pipeline", *QUERIES} and SQL.keys() <= QUERIES.keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "secrets", "packing"]
 
 
