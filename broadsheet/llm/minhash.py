@@ -38,6 +38,9 @@ CELL = 2048
 BLOCK_SHINGLES = 200_000
 PIVOTS = 8
 
+# Links left of all tasks' forests that one task still joins; more are joined by all.
+ONE_TASK_LINKS = 1 << 20
+
 _KEY = ["key_a", "key_b"]
 _LINK = "u long, v long"
 
@@ -196,6 +199,62 @@ def _find(root: np.ndarray | list, a: int) -> int:
     return int(a)
 
 
+# -- components -------------------------------------------------------------
+
+
+def components_of(links: DataFrame) -> DataFrame:
+    """(node, component) of every node in ``links``; a component is its smallest node.
+
+    Every task first keeps a spanning forest of its own links. A few forests are joined in one task, which spares
+    the rounds that many need; both ways give the same rows.
+    """
+    forests = cut(links.mapInArrow(_spanning, _LINK))
+    if forests.count() > ONE_TASK_LINKS:
+        return connected_components(forests)
+    return forests.coalesce(1).mapInArrow(_stars, "node long, component long")
+
+
+def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    u, v = np.empty(0, np.int64), np.empty(0, np.int64)
+    for batch in batches:
+        u, v = (np.concatenate((a, batch.column(c).to_numpy())) for a, c in ((u, "u"), (v, "v")))
+        if len(u) > ONE_TASK_LINKS:
+            u, v = _stars_of(u, v)
+            if 2 * len(u) > ONE_TASK_LINKS:
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                u, v = u[:0], v[:0]
+    u, v = _stars_of(u, v)
+    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+    if parts:
+        least, node = _stars_of(*map(np.concatenate, zip(*parts)))
+        own = np.unique(least)
+        node, least = np.concatenate((node, own)), np.concatenate((least, own))
+        for at in range(0, len(node), 1 << 16):
+            columns = [pa.array(c[at : at + (1 << 16)]) for c in (node, least)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "component"])
+
+
+def _stars_of(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest node, node) of every other node of each component."""
+    nodes, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    root = list(range(len(nodes)))
+    for a, b in zip(at[: len(u)].tolist(), at[len(u) :].tolist()):
+        while root[a] != a:
+            root[a] = a = root[root[a]]
+        while root[b] != b:
+            root[b] = b = root[root[b]]
+        root[max(a, b)] = min(a, b)
+    least = np.array(root, np.int64)
+    while not np.array_equal(up := least[least], least):
+        least = up
+    other = np.flatnonzero(least != np.arange(len(nodes)))
+    return nodes[least[other]], nodes[other]
+
+
 # -- links on whole sets ----------------------------------------------------
 
 
@@ -305,7 +364,7 @@ def exact_links(
         return links
 
     # what is not in the largest group of its cluster meets the whole cluster, block by block
-    groups = connected_components(links)
+    groups = components_of(links)
     members = texts.join(large, "cluster").join(groups, "node", "left")
     members = cut(members.select("cluster", "node", "n_shingles", "blocks", F.coalesce("component", "node").alias("label")))
     by_label = members.groupBy("cluster", "label").agg(F.count("*").alias("size"))
@@ -363,10 +422,10 @@ def minhash_components(
     # numbered once: the stored rows keep their numbers
     classes = cut(folded.withColumn("node", F.monotonically_increasing_id()))
 
-    clusters = connected_components(candidate_links(classes.select("node", "sig", "short"), coordinates, matches, cell))
+    clusters = components_of(candidate_links(classes.select("node", "sig", "short"), coordinates, matches, cell))
     named = classes.select("node", "n_shingles", *_KEY).join(clusters.withColumnRenamed("component", "cluster"), "node")
     texts = keyed.select(*_KEY, "text").join(named, _KEY).groupBy("node", "cluster", "n_shingles").agg(F.first("text").alias("text"))
-    found = connected_components(exact_links(cut(texts), shingle, percent, block_shingles, pivots))
+    found = components_of(exact_links(cut(texts), shingle, percent, block_shingles, pivots))
 
     labelled = classes.select("node", "least", *_KEY).join(found, "node", "left").withColumn("label", F.coalesce("component", "node"))
     firsts = labelled.groupBy("label").agg(F.min("least").alias("component_id"))

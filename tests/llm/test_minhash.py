@@ -111,6 +111,16 @@ def test_forest_equals_comparing_all():
     assert len(u) == 200 - len(set(classes(all_pairs)))
 
 
+def test_components_in_one_task_and_in_many(spark, monkeypatch):
+    links = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(260, 200, -1)] + [(9, 9), (7, 201)]
+    want = {(i, 100) for i in range(100, 141)} | {(i, 7) for i in range(201, 261)} | {(7, 7)}
+    frame = spark.createDataFrame(links, "u long, v long").repartition(3)
+    assert {tuple(r) for r in minhash.components_of(frame).collect()} == want
+    assert minhash.components_of(frame.limit(0)).collect() == []
+    monkeypatch.setattr(minhash, "ONE_TASK_LINKS", 5)
+    assert {tuple(r) for r in minhash.components_of(frame).collect()} == want
+
+
 def test_long_text_in_blocks(monkeypatch):
     text = " ".join(f"w{i % 977} v{i % 31}" for i in range(3000)).encode()
     hashes = minhash.WordHashes()
