@@ -4,8 +4,8 @@
    Equal texts are one text from here on.
 2. Texts are posted under (coordinate, value). Two signatures that agree in ``matches`` of k coordinates
    agree in one of the first k - matches + 1, so only that prefix is posted. The
-   texts of a posting are compared over all coordinates; a pair is skipped once too few are left
-   to reach the bound, or when both texts are linked already. A posting gives a
+   texts of a posting, in the order of their sets' sizes, are compared over all coordinates; a pair is skipped if
+   the sizes alone rule it out, if too few coordinates are left to reach the bound, or if both texts are linked already. A posting gives a
    spanning forest, and one that many texts share is dealt over cells of bounded size.
 3. The forests' components are candidate clusters: every pair above the bound lies inside one. The
    texts of a cluster, no others, are read again and compared on whole sets, by an index of their
@@ -109,20 +109,22 @@ def _signatures(shingle: int, coordinates: int) -> Callable:
 # -- candidates -------------------------------------------------------------
 
 
-def candidate_links(signed: DataFrame, coordinates: int, matches: int, cell: int = CELL) -> DataFrame:
+def candidate_links(signed: DataFrame, coordinates: int, matches: int, percent: int, cell: int = CELL) -> DataFrame:
     """(u, v) links that connect the ``node``s whose signatures agree in ``matches`` coordinates.
 
+    Sets of which one has less than ``percent`` of the other's ``n_shingles`` cannot be similar and are not linked.
+
     ``sig`` holds the values, ``short`` the last byte of each: of two texts, those that agree are
     counted by it, so chance may add a link but none is lost.
     """
     prefix = coordinates - matches + 1
-    posted = signed.select("node", "short", F.posexplode(F.slice("sig", 1, prefix)).alias("coordinate", "value"))
+    posted = signed.select("node", "n_shingles", "short", F.posexplode(F.slice("sig", 1, prefix)).alias("coordinate", "value"))
     key = ["coordinate", "value"]
     sizes = posted.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
     parts = F.ceil(F.col("n") / cell)
     own = F.pmod(F.xxhash64("node"), parts)
     cells = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda j: F.least(own, j) * parts + F.greatest(own, j))
-    dealt = posted.join(sizes, key).select(F.xxhash64(*key).alias("posting"), "node", "short", F.explode(cells).alias("cell"))
+    dealt = posted.join(sizes, key).select(F.xxhash64(*key).alias("posting"), "node", "n_shingles", "short", F.explode(cells).alias("cell"))
     n = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, "posting", "cell").sortWithinPartitions("posting", "cell")
 
@@ -130,7 +132,7 @@ def candidate_links(signed: DataFrame, coordinates: int, matches: int, cell: int
         for rows in whole_groups(batches, ["posting", "cell"]):
             node = rows.column("node").to_numpy()
             short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(node), coordinates)
-            u, v = _forest(rows.column("group").to_numpy(), node, short, matches)
+            u, v = _forest(rows.column("group").to_numpy(), node, rows.column("n_shingles").to_numpy(), short, matches, percent)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     return dealt.mapInArrow(link, _LINK)
@@ -160,18 +162,21 @@ def _numbered(rows: pa.Table, borders: np.ndarray) -> pa.RecordBatch:
     return rows.append_column("group", pa.array(np.cumsum(marks))).combine_chunks().to_batches()[0]
 
 
-def _forest(group: np.ndarray, node: np.ndarray, short: np.ndarray, matches: int) -> tuple[np.ndarray, np.ndarray]:
+def _forest(
+    group: np.ndarray, node: np.ndarray, size: np.ndarray, short: np.ndarray, matches: int, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of each group's pairs above the bound; rows are sorted by group."""
     n, coordinates = short.shape
-    # alike signatures side by side, so that near rows link first
-    order = np.lexsort((short[:, 2], short[:, 1], short[:, 0], group))
-    group, node, short = group[order], node[order], short[order]
+    # by size, and among equals alike signatures side by side
+    order = np.lexsort((short[:, 1], short[:, 0], size, group))
+    group, node, size, short = group[order], node[order], size[order], short[order]
     end = np.cumsum(np.bincount(group))[group]
     root, u, v = np.arange(n), [], []
     alive, lag = np.arange(n), 0
     while True:
         lag += 1
         alive = alive[alive + lag < end[alive]]
+        alive = alive[100 * size[alive] >= percent * size[alive + lag]]
         if not len(alive):
             break
         pair = alive[root[alive] != root[alive + lag]]
@@ -422,7 +427,7 @@ def minhash_components(
     # numbered once: the stored rows keep their numbers
     classes = cut(folded.withColumn("node", F.monotonically_increasing_id()))
 
-    clusters = components_of(candidate_links(classes.select("node", "sig", "short"), coordinates, matches, cell))
+    clusters = components_of(candidate_links(classes, coordinates, matches, percent, cell))
     named = classes.select("node", "n_shingles", *_KEY).join(clusters.withColumnRenamed("component", "cluster"), "node")
     texts = keyed.select(*_KEY, "text").join(named, _KEY).groupBy("node", "cluster", "n_shingles").agg(F.first("text").alias("text"))
     found = components_of(exact_links(cut(texts), shingle, percent, block_shingles, pivots))

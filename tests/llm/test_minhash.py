@@ -96,7 +96,8 @@ def test_forest_equals_comparing_all():
     short = rng.integers(0, 3, (200, 8)).astype(np.uint8)
     group = np.sort(rng.integers(0, 4, 200))
     node = rng.permutation(200)
-    u, v = minhash._forest(group, node, short, 5)
+    size = rng.integers(5, 12, 200)
+    u, v = minhash._forest(group, node, size, short, 5, 80)
     of = {int(n): i for i, n in enumerate(node)}
 
     def classes(pairs):
@@ -106,7 +107,7 @@ def test_forest_equals_comparing_all():
             root[max(x, y)] = min(x, y)
         return [minhash._find(root, i) for i in range(200)]
 
-    all_pairs = [(a, b) for a in range(200) for b in range(a) if group[a] == group[b] and (short[a] == short[b]).sum() >= 5]
+    all_pairs = [(a, b) for a in range(200) for b in range(a) if group[a] == group[b] and (short[a] == short[b]).sum() >= 5 and min(size[a], size[b]) >= 0.8 * max(size[a], size[b])]
     assert classes([(of[int(a)], of[int(b)]) for a, b in zip(u, v)]) == classes(all_pairs)
     assert len(u) == 200 - len(set(classes(all_pairs)))
 
