@@ -168,6 +168,25 @@ _PARSED = f"""parsed AS (
 _BY_SCORE = "ORDER BY impact_score DESC NULLS LAST, uid, doc_id"
 
 
+# Classes of equal words, their runs of three, and all pairs of classes that share one.
+_SIMILAR = r"""classes AS (
+  SELECT normal, min(doc_id) AS id FROM (
+    SELECT doc_id, array_to_string(regexp_extract_all(lower(body), '[^ \t\n\x0b\f\r]+'), ' ') AS normal FROM v_articles
+  ) WHERE normal <> '' GROUP BY normal
+),
+sets AS (
+  SELECT id, CASE WHEN len(w) < 3 THEN [normal]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM (SELECT *, string_split(normal, ' ') AS w FROM classes)
+),
+posted AS (SELECT id, len(s) AS n, unnest(s) AS shingle FROM sets),
+pairs AS (
+  SELECT a.id AS id_a, b.id AS id_b, count(*) AS n_common, any_value(a.n + b.n) - count(*) AS n_all
+  FROM posted a JOIN posted b ON a.shingle = b.shingle AND a.id < b.id
+  GROUP BY a.id, b.id HAVING 100 * count(*) >= 85 * (any_value(a.n + b.n) - count(*))
+)"""
+
+
 def oracle() -> dict[str, str]:
     page_title = "regexp_extract(html, '<title>(.*?)</title>', 1, 's')"
     page_author = "CASE WHEN html LIKE '%</html>' THEN regexp_extract(html, '<h1>(.*?)</h1>', 1, 's') END"
@@ -296,6 +315,13 @@ def oracle() -> dict[str, str]:
             "SELECT doc_id, task, answer, sentiment, reasoning, impact_score, description, entities FROM parsed", _GIVEN, _PARSED
         ),
         "length_filter": _articles("SELECT doc_id, body FROM v_articles WHERE length(body) BETWEEN 100 AND 10000"),
+        "near_dup_pairs": _articles("SELECT id_a, id_b, n_common::BIGINT AS n_common, n_all::BIGINT AS n_all FROM pairs", _SIMILAR),
+        "near_dedup": _articles(
+            """SELECT doc_id, url FROM v_articles a
+            LEFT JOIN classes c ON c.normal = array_to_string(regexp_extract_all(lower(a.body), '[^ \\t\\n\\x0b\\f\\r]+'), ' ')
+            WHERE c.id IS NULL OR (a.doc_id = c.id AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.id_b = a.doc_id))""",
+            _SIMILAR,
+        ),
         "language_filter": _articles("SELECT doc_id, url FROM v_articles WHERE lang = 'en'"),
         "top_articles": _articles(
             f"SELECT doc_id, uid, impact_score FROM parsed WHERE task = 'impact' {_BY_SCORE} LIMIT 20", _GIVEN, _PARSED

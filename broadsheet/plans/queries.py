@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import functions as text
 from broadsheet import sources
-from broadsheet.operators import answers, collect, corpus, dataset, prompts, reports
+from broadsheet.operators import answers, collect, corpus, dataset, near_dups, prompts, reports
 from broadsheet.operators import tfidf as weights
 from broadsheet.plans import views
 from broadsheet.sources import newsapi
@@ -279,6 +279,16 @@ def language_filter(spark, sf):
     return reports.language_filter(views.v_articles(spark, sf)).select("doc_id", "url")
 
 
+@query
+def near_dup_pairs(spark, sf):
+    return near_dups.near_dup_pairs(views.v_articles(spark, sf))
+
+
+@query
+def near_dedup(spark, sf):
+    return near_dups.near_dedup(views.v_articles(spark, sf).select("doc_id", "url", "body")).select("doc_id", "url")
+
+
 def _scored(spark, sf) -> DataFrame:
     parsed = reports.parsed_answers(views.v_answers(spark, sf)).filter("task = 'impact'")
     return parsed.withColumn("uid", text.article_uid("url"))
