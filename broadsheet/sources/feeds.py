@@ -2,122 +2,42 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.fields import truthy
 from broadsheet.operators.collect import valid_articles
 from broadsheet.schema import ARTICLE_COLUMNS
+from broadsheet.sources.feed_reader import feed_of
 
-_RSS_ITEM = (
-    "struct<title string, link string, guid struct<_VALUE string, _isPermaLink string>, "
-    "description string, `content:encoded` string, pubDate string, `dc:date` string, "
-    "author string, `dc:creator` string>"
-)
-_ATOM_ENTRY = (
-    "struct<title string, link array<struct<_href string, _rel string>>, content string, "
-    "summary string, published string, updated string, author struct<name string>>"
-)
-# One schema for the three shapes: items in the channel (RSS 2), beside it
-# (RSS 1), and entries (Atom). What a document does not have parses to null.
-FEED_SCHEMA = (
-    f"channel struct<title string, item array<{_RSS_ITEM}>>, item array<{_RSS_ITEM}>, "
-    f"title string, entry array<{_ATOM_ENTRY}>"
-)
 _CARRIED = ["source_ord", "feed_ord"]
 
 
-def _from_rss(item):
-    permalink = F.coalesce(item["guid"]["_isPermaLink"], F.lit("true")) == "true"
+def _article(item):
     return F.struct(
         item["title"].alias("title"),
-        truthy(item["link"], F.when(permalink, item["guid"]["_VALUE"])).alias("url"),
-        truthy(item["content:encoded"], item["description"]).alias("body"),
-        truthy(item["pubDate"], item["dc:date"]).alias("published_at"),
-        F.coalesce(item["author"], item["dc:creator"], F.lit("")).alias("author"),
-    )
-
-
-def _from_atom(entry):
-    # an absent rel means "alternate"
-    alternate = F.filter(entry["link"], lambda k: F.coalesce(k["_rel"], F.lit("alternate")) == "alternate")
-    return F.struct(
-        entry["title"].alias("title"),
-        F.get(alternate, F.lit(0))["_href"].alias("url"),
-        truthy(entry["content"], entry["summary"]).alias("body"),
-        truthy(entry["published"], entry["updated"]).alias("published_at"),
-        F.coalesce(entry["author"]["name"], F.lit("")).alias("author"),
-    )
-
-
-# What XML itself names, and the HTML names that feeds use without declaring them.
-_XML_NAMES = "amp|lt|gt|quot|apos"
-_HTML_NAMES = {name: chr(code) for name, code in name2codepoint.items() if name not in _XML_NAMES.split("|")}
-
-
-def _whole(feed: Column) -> Column:
-    """(title, items) of a document that parsed; null if it has no items or did not."""
-    items = F.coalesce(
-        F.transform(feed["channel"]["item"], _from_rss),
-        F.transform(feed["item"], _from_rss),
-        F.transform(feed["entry"], _from_atom),
+        truthy(item["link"], item["guid"]).alias("url"),
+        truthy(item["whole"], item["short"]).alias("body"),
+        truthy(item["published"], item["updated"]).alias("published_at"),
+        F.coalesce(item["author"], item["creator"], F.lit("")).alias("author"),
     )
-    title = F.coalesce(feed["channel"]["title"], feed["title"])
-    return F.when(items.isNotNull(), F.struct(title.alias("title"), items.alias("items")))
-
-
-def _repaired(value: Column) -> Column:
-    """A document without what feeds most often get wrong.
-
-    Blanks before the declaration go, undeclared HTML names become their characters, a
-    bare ampersand is escaped, and an Atom document loses its prefix.
-    """
-    text = F.regexp_replace(value, r"^[\s\x{feff}]+", "")
-    names = F.array(*(F.struct(F.lit(f"&{n};").alias("name"), F.lit(c).alias("text")) for n, c in _HTML_NAMES.items()))
-    decoded = F.aggregate(names, text, lambda done, n: F.replace(done, n["name"], n["text"]))
-    text = F.when(text.rlike(f"&(?!(?:{_XML_NAMES});)[A-Za-z][A-Za-z0-9]*;"), decoded).otherwise(text)
-    text = F.regexp_replace(text, "&(?!#?[A-Za-z0-9]+;)", "&amp;")
-    return F.when(text.contains("<atom:feed"), F.regexp_replace(text, "(</?)atom:", "$1")).otherwise(text)
-
-
-def _pieces(text: Column) -> Column:
-    """(title, items) of the complete items or entries of a broken document, each read by itself."""
-
-    def read(tag: str, schema: str, entry) -> Column:
-        found = F.regexp_extract_all(text, F.lit(rf"(?s)<{tag}[\s>].*?</{tag}>"), F.lit(0))
-        parsed = F.transform(found, lambda piece: F.from_xml(F.concat(F.lit("<x>"), piece, F.lit("</x>")), f"{tag} {schema}")[tag])
-        return F.when(F.size(found) > 0, F.transform(parsed, entry))
-
-    head = F.regexp_extract(text, r"(?s)^(.*?)<(?:item|entry)[\s>]", 1)
-    name = F.regexp_extract(head, "<title[^>]*>[^<]*</title>", 0)
-    title = F.from_xml(F.concat(F.lit("<x>"), name, F.lit("</x>")), "title string")["title"]
-    items = F.coalesce(read("item", _RSS_ITEM, _from_rss), read("entry", _ATOM_ENTRY, _from_atom))
-    return F.when(items.isNotNull(), F.struct(title.alias("title"), items.alias("items")))
 
 
 def rss_articles(payloads: DataFrame) -> DataFrame:
     """Articles of landed feeds; ``source_key`` is the feed's url.
 
-    A document that does not parse is repaired, and if it still does not, its complete
-    items are read one by one. Only one without any yields no rows; others are left alone.
+    A feed is read once, whatever faults it has: every whole item is kept, and one without any
+    yields no rows. Other feeds are left alone.
     """
     carried = [c for c in _CARRIED if c in payloads.columns]
-    # each step gets null where the one before gave items, and is a column, so that it is taken once
-    whole, again = _whole(F.col("_parsed")), _whole(F.col("_again"))
     return (
-        payloads.withColumn("_parsed", F.from_xml("value", FEED_SCHEMA))
-        .withColumn("_text", F.when(whole.isNull(), _repaired(F.col("value"))))
-        .withColumn("_again", F.from_xml("_text", FEED_SCHEMA))
-        .withColumn("_broken", F.when(again.isNull(), F.col("_text")))
-        .withColumn("feed", F.coalesce(whole, again, _pieces(F.col("_broken"))))
+        payloads.withColumn("feed", feed_of("value"))
         .select(
             "fetched_at",
             *carried,
             "source_key",
             F.coalesce("feed.title", "source_key").alias("source"),
-            F.posexplode("feed.items").alias("pos", "entry"),
+            F.posexplode(F.transform("feed.items", _article)).alias("pos", "entry"),
         )
         .select(
             "fetched_at",
