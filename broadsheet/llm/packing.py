@@ -23,6 +23,7 @@ from broadsheet.llm.common import utf8
 SEQUENCE = 2048
 END_ID = 1
 PIECE = "start long, length long, ids array<int>, ids_crc32 long, doc_tokens long"
+_IDS = "ids array<int>, "
 # Words kept with their ids in a worker, and bytes of text put together at a time.
 CACHED_WORDS = 400_000
 _TEXT_BYTES = 4 << 20
@@ -128,8 +129,9 @@ def pack_power_of_two(
     text_col: str = "text",
     sequence: int = SEQUENCE,
     end_id: int = END_ID,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """(id, start, length, ids, ids_crc32, doc_tokens, bucket, sequence_id, offset) per piece.
+    """(id, start, length, ids, ids_crc32, doc_tokens, bucket, sequence_id, offset) per piece; ``ids`` only if asked for.
 
     ``tokenizer`` is the path of a byte-level BPE file that every executor has. A null text
     is an empty one: its only id is ``end_id``. Repeated rows are packed each by itself, null ids
@@ -143,16 +145,16 @@ def pack_power_of_two(
         encoder = word_tokenizer(tokenizer)
         for batch in batches:
             for at, texts in _slices(batch.column("text")):
-                yield from _pieces(batch.column("id"), at, encoder.encode_many(texts), sequence, end_id)
+                yield from _pieces(batch.column("id"), at, encoder.encode_many(texts), sequence, end_id, with_ids)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    pieces = rows.mapInArrow(cut_up, f"id {kind}, {PIECE}")
+    pieces = rows.mapInArrow(cut_up, f"id {kind}, {PIECE if with_ids else PIECE.replace(_IDS, '')}")
     return pieces.select(
         F.col("id").alias(id_col),
         "start",
         "length",
-        "ids",
+        *(["ids"] if with_ids else []),
         "ids_crc32",
         "doc_tokens",
         F.col("length").alias("bucket"),
@@ -175,7 +177,7 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield first, held
 
 
-def _pieces(ids: pa.Array, at: int, encoded: list[np.ndarray], sequence: int, end_id: int) -> Iterator[pa.RecordBatch]:
+def _pieces(ids: pa.Array, at: int, encoded: list[np.ndarray], sequence: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     doc, start, length, crc, tokens, all_ids = [], [], [], [], [], []
     for i, found in enumerate(encoded, at):
         own = np.append(found, np.int32(end_id))
@@ -187,16 +189,16 @@ def _pieces(ids: pa.Array, at: int, encoded: list[np.ndarray], sequence: int, en
             crc.append(zlib.crc32(data[4 * here : 4 * (here + n)]))
             tokens.append(len(own))
             here += n
-        all_ids.append(own)
+        if with_ids:
+            all_ids.append(own)
     if not doc:
         return
-    lists = pa.ListArray.from_arrays(
-        pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(np.concatenate(all_ids).astype(np.int32))
-    )
-    yield pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(doc)), pa.array(start, pa.int64()), pa.array(length, pa.int64()), lists, pa.array(crc, pa.int64()), pa.array(tokens, pa.int64())],
-        ["id", "start", "length", "ids", "ids_crc32", "doc_tokens"],
-    )
+    columns = {"id": ids.take(pa.array(doc)), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64())}
+    if with_ids:
+        ends = pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32))
+        columns["ids"] = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(all_ids).astype(np.int32)))
+    columns |= {"ids_crc32": pa.array(crc, pa.int64()), "doc_tokens": pa.array(tokens, pa.int64())}
+    yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

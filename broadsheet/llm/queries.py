@@ -43,7 +43,7 @@ def op2_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_power_of_two(docs, tokenizer_path()).drop("ids", "bucket")
+    return packing.pack_power_of_two(docs, tokenizer_path(), with_ids=False).drop("bucket")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

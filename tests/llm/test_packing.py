@@ -74,3 +74,10 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs, plain, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "bucket=2048")).count() == sum(p.bucket == 2048 for p in rows)
     with pytest.raises(ValueError):
         packing.pack_power_of_two(odd_docs, tokenizer_path(), sequence=1000)
+
+
+def test_without_ids(spark, odd_docs):
+    whole = packing.pack_power_of_two(odd_docs, tokenizer_path())
+    bare = packing.pack_power_of_two(odd_docs, tokenizer_path(), with_ids=False)
+    assert bare.columns == [c for c in whole.columns if c != "ids"]
+    assert sorted(map(str, bare.drop("sequence_id").collect())) == sorted(map(str, whole.drop("ids", "sequence_id").collect()))
