@@ -31,30 +31,32 @@ def tokens_of(text: Column | str, stop_words: Iterable[str] = STOP_WORDS) -> Col
     return F.filter(words, lambda w: w.rlike("^[a-z]+$") & ~w.isin(stop))
 
 
-def corpus_tokens(
-    df: DataFrame, stop_words: Iterable[str] = STOP_WORDS, lemma: DataFrame | None = None, id_col: str = "doc_id"
-) -> DataFrame:
+def corpus_tokens(df: DataFrame, stop_words: Iterable[str] = STOP_WORDS, lemma: DataFrame | None = None) -> DataFrame:
     """Clean ``text`` and add its ``tokens``; with a lemma table, as base forms."""
     tokens = df.withColumn("tokens", tokens_of(corpus_clean("text"), stop_words))
-    return tokens if lemma is None else lemmatize(tokens, lemma, id_col)
+    return tokens if lemma is None else lemmatize(tokens, lemma)
 
 
-def lemmatize(df: DataFrame, lemma: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def lemmatize(df: DataFrame, lemma: DataFrame) -> DataFrame:
     """Replace each token by its ``lemma`` where the (term, lemma) table has one.
 
-    ``id_col`` must be unique: it brings a text's lemmas back to it. Null tokens, and those
-    of a null list, stay what they are; of several lemmas of a term one is taken.
+    Lists of tokens are looked up, not rows: copies of a list share one entry, so ids may repeat or be
+    null and need not exist. Null tokens, and a null list, stay what they are; of several lemmas of a term
+    the one that sorts first is taken. All other columns stay.
     """
+    key = [F.xxhash64("tokens").alias("_key_a"), F.xxhash64(F.lit(1), "tokens").alias("_key_b")]
     # of an expression, not of the column itself: Spark would push a test of the
     # column's size to the scan and tokenise there a second time
     distinct = F.filter(F.array_distinct("tokens"), lambda t: t.isNotNull())
-    forms = lemma.select("term", "lemma").dropDuplicates(["term"])
+    forms = lemma.filter(F.col("lemma").isNotNull()).groupBy("term").agg(F.min("lemma").alias("lemma"))
     # words without a lemma end in this join, whichever way Spark does it
-    found = df.select(id_col, F.explode(distinct).alias("term")).join(forms, "term")
-    entries = F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("_forms")
-    kept = df.join(found.groupBy(id_col).agg(entries), id_col, "left")
+    found = df.select(*key, F.explode(distinct).alias("term")).join(forms, "term")
+    # a set: each map task sends the entries of a list once, however many copies it has read
+    entries = F.map_from_entries(F.collect_set(F.struct("term", "lemma"))).alias("_forms")
+    kept = df.select("*", *key).join(found.groupBy("_key_a", "_key_b").agg(entries), ["_key_a", "_key_b"], "left")
     base = F.transform("tokens", lambda t: F.coalesce(F.try_element_at("_forms", t), t))
-    return kept.withColumn("tokens", F.when(F.col("_forms").isNull(), F.col("tokens")).otherwise(base)).drop("_forms")
+    lemmas = F.when(F.col("_forms").isNull(), F.col("tokens")).otherwise(base)
+    return kept.withColumn("tokens", lemmas).select(*df.columns)
 
 
 def processed_text(tokens: Column | str = "tokens") -> Column:

@@ -28,9 +28,9 @@ def limit_articles(df: DataFrame, n: int | None, order: list[str] | None = None)
     """The first ``n`` rows; None and 0 mean all, a negative number means none.
 
     Rows are ordered by url, fetch time and a hash of the whole row, nulls first; an
-    ``order`` that is given must be total. Only these keys are ranked, ``n`` of them; the
-    rows are then filtered in place, so they stay in as many partitions as they were.
-    Rows equal in all keys are copies, and as many of them are taken as still fit.
+    ``order`` that is given must be total. Only these keys are ranked, ``n`` of them, when
+    the result is asked for; the rows are then filtered in place, so they stay in as many partitions as they were.
+    Rows equal in all keys are copies, and as many of them are given as still fit.
     """
     if not n:
         return df
@@ -42,15 +42,13 @@ def limit_articles(df: DataFrame, n: int | None, order: list[str] | None = None)
         keys = [F.col("url"), *times, whole]
     else:
         keys = [F.col(c) for c in order]
-    key = F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys)))
-    firsts = df.select(key.alias("_key")).orderBy("_key").limit(n)
-    last = firsts.groupBy("_key").agg(F.count("*").alias("_copies")).agg(F.max(F.struct("_key", "_copies")).alias("_last")).first()["_last"]
-    if last is None:
-        return df
-    keyed = df.withColumn("_key", key)
-    cut = F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(last["_key"], keyed.schema["_key"].dataType)))
-    before = keyed.filter(F.col("_key") < cut)
-    copies = keyed.filter(F.col("_key") == cut).limit(last["_copies"])
+    key = F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys))).alias("_key")
+    firsts = df.select(key).orderBy("_key").limit(n).groupBy("_key").agg(F.count("*").alias("_copies"))
+    last = firsts.agg(F.max(F.struct("_key", "_copies"))).scalar()
+    keyed = df.select("*", key)
+    before = keyed.filter(F.col("_key") < last["_key"])
+    one = keyed.filter(F.col("_key") == last["_key"]).limit(1)
+    copies = one.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), last["_copies"].cast("int")))).drop("_copy")
     return before.unionByName(copies).drop("_key")
 
 
@@ -74,10 +72,11 @@ def _bucket_offsets(keyed: DataFrame) -> DataFrame:
 def shuffled(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
     """Add ``row_idx``, each row's place in a seeded random order, counted from 0.
 
-    ``id_col`` must be unique; a row without an id comes first. No task sees more than one bucket: the place is the
+    ``id_col`` must be unique; rows without an id are placed by what else they hold, so many of them
+    spread like the others. No task sees more than one bucket: the place is the
     number of rows in earlier buckets plus the rank inside the bucket.
     """
-    hashed = F.coalesce(_hash_key(id_col, seed), F.lit("0" * 32))
+    hashed = F.coalesce(_hash_key(id_col, seed), _hash_key(F.to_json(F.struct(*df.columns)), seed))
     keyed = df.withColumn("_hash", hashed).withColumn("_bucket", F.substring("_hash", 1, _BUCKET_HEX))
     offsets = _bucket_offsets(keyed).select("_bucket", "_before")
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", id_col))

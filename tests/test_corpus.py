@@ -162,3 +162,16 @@ def test_corpus_stage(spark, tmp_path):
     assert vocab == {t: i for i, t in enumerate(sorted(["said", "hi", "left", "caf", "dogs"]))}
     weights = spark.read.parquet(f"{out}/weights").groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n"))
     assert all(math.isclose(r.n, 1.0) for r in weights.collect()) and weights.count() == 2
+
+
+def test_lemmas_need_no_ids(spark):
+    lemma = spark.createDataFrame([("cats", "cat"), ("cats", "cab"), ("mice", "mouse"), ("mice", None), (None, "x")], "term string, lemma string")
+    rows = [(1, ["cats", "sit"], "a"), (1, ["cats", "sit"], "b"), (1, ["mice"], "c"), (None, ["mice", None, "cats"], "d"), (None, None, "e"), (3, [], "f"), (4, ["sit"], "g")]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>, term string")
+    got = lemmatize(df, lemma)
+    assert got.columns == df.columns
+    assert {r.term: (r.doc_id, r.tokens) for r in got.collect()} == {
+        "a": (1, ["cab", "sit"]), "b": (1, ["cab", "sit"]), "c": (1, ["mouse"]), "d": (None, ["mouse", None, "cab"]),
+        "e": (None, None), "f": (3, []), "g": (4, ["sit"]),
+    }
+    assert got.count() == len(rows) and lemmatize(df.limit(0), lemma).count() == 0

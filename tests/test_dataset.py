@@ -41,7 +41,24 @@ def test_limit_is_exact_and_stays_parallel(spark):
         assert limit_articles(df, n).count() == min(n, 12)
     big = limit_articles(ids(spark, 100, 8), 60)
     assert big.rdd.getNumPartitions() > 4
-    assert "TakeOrderedAndProject" not in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_limit_runs_nothing_until_it_is_asked(spark):
+    context = spark.sparkContext
+    context.setJobGroup("building", "no job")
+    late = limit_articles(ids(spark, 20), 5)
+    assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    context.setJobGroup("done", "")
+    assert late.count() == 5
+    assert limit_articles(ids(spark, 0), 5).count() == 0
+
+
+def test_shuffled_spreads_rows_without_id(spark):
+    df = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").alias("x"))
+    rows = shuffled(df, "doc_id").collect()
+    assert sorted(r.row_idx for r in rows) == list(range(3000))
+    assert [r.x for r in sorted(rows, key=lambda r: r.row_idx)] != list(range(3000))
+    assert sorted((r.row_idx, r.x) for r in shuffled(df.repartition(5), "doc_id").collect()) == sorted((r.row_idx, r.x) for r in rows)
 
 
 def test_shuffled_keeps_a_row_without_id(spark):
