@@ -28,6 +28,7 @@ _IDS = "ids array<int>, "
 CACHED_WORDS = 400_000
 _TEXT_BYTES = 4 << 20
 _PART_BYTES = 1 << 15
+_LONGEST_FIRST = 64
 
 
 def piece_lengths(n: int, longest: int = SEQUENCE) -> list[int]:
@@ -59,29 +60,35 @@ class WordTokenizer:
 
     def _clear(self) -> None:
         self.words: dict[str, int] = {}
+        self.firsts: dict[str, np.ndarray] = {}
         self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.words) > self.cached_words:
+        if len(self.words) + len(self.firsts) > self.cached_words:
             self._clear()
         split: list[list[str] | None] = []
         missing: dict[str, None] = {}
         for text in texts:
             words = text.split(" ")
-            # an empty word or white space at its end: a space behind white space
-            if not text or any(a in text for a in self.added) or any(not w or w[-1].isspace() for w in words):
+            unknown = set(words[1:]).difference(self.words)
+            # an empty word or white space at its end, which no known word has: a space behind white space
+            if not text or any(a in text for a in self.added) or any(not w or w[-1].isspace() for w in (words[0], *unknown)):
                 split.append(None)
                 continue
             split.append(words)
-            missing.update((w, None) for w in words[1:] if w not in self.words)
+            missing.update(dict.fromkeys(unknown))
         self._learn(list(missing))
         return [self.encode(t) if w is None else self._joined(w) for t, w in zip(texts, split)]
 
     def _joined(self, words: list[str]) -> np.ndarray:
-        first = self.encode(words[0])
+        first = self.firsts.get(words[0])
+        if first is None:
+            first = self.encode(words[0])
+            if len(words[0]) <= _LONGEST_FIRST:
+                self.firsts[words[0]] = first
         if len(words) == 1:
             return first
         number = np.fromiter(map(self.words.__getitem__, words[1:]), np.int64, len(words) - 1)
