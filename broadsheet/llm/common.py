@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -27,13 +28,20 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def own_folder(master: str) -> str:
+    """A folder of this machine, which is all there is under a local master."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set {CHECKPOINT_DIR} to storage that every executor can reach")
+    return tempfile.mkdtemp(prefix="broadsheet-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of this machine's own only where none is named."""
+    """The cluster's shared folder; one of this machine's own only where none is named and nothing runs elsewhere."""
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_DIR, None)
     current = context._jsc.sc().getCheckpointDir()
     if current.isEmpty():
-        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="broadsheet-"))
+        context.setCheckpointDir(root or own_folder(context.master))
         current = context._jsc.sc().getCheckpointDir()
     return current.get()
 
