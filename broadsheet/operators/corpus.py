@@ -50,10 +50,12 @@ def lemmatize(df: DataFrame, lemma: DataFrame) -> DataFrame:
     distinct = F.filter(F.array_distinct("tokens"), lambda t: t.isNotNull())
     forms = lemma.filter(F.col("lemma").isNotNull()).groupBy("term").agg(F.min("lemma").alias("lemma"))
     # words without a lemma end in this join, whichever way Spark does it
-    found = df.select(*key, F.explode(distinct).alias("term")).join(forms, "term")
+    keyed = df.select("*", *key)
+    # keys are columns by then: in one step with the explode they would be taken once for every token
+    found = keyed.select("_key_a", "_key_b", F.explode(distinct).alias("term")).join(forms, "term")
     # a set: each map task sends the entries of a list once, however many copies it has read
     entries = F.map_from_entries(F.collect_set(F.struct("term", "lemma"))).alias("_forms")
-    kept = df.select("*", *key).join(found.groupBy("_key_a", "_key_b").agg(entries), ["_key_a", "_key_b"], "left")
+    kept = keyed.join(found.groupBy("_key_a", "_key_b").agg(entries), ["_key_a", "_key_b"], "left")
     base = F.transform("tokens", lambda t: F.coalesce(F.try_element_at("_forms", t), t))
     lemmas = F.when(F.col("_forms").isNull(), F.col("tokens")).otherwise(base)
     return kept.withColumn("tokens", lemmas).select(*df.columns)
