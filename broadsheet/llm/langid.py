@@ -6,10 +6,10 @@ context codes it, or escapes (method C: as many escapes as distinct bytes seen)
 next shorter one, which codes it among the bytes not excluded so far, down to 256 equal
 bytes. The statistics are frozen.
 
-``judge_languages`` uses every context of every language. The counts are a stored Spark
-table; the distinct grams of the texts, a part of the texts at a time, are joined with it
-and come back with their code lengths. ``train_ppm`` and ``predict_language`` are the form for
-a model that is to be small: its most frequent contexts, as an automaton in memory.
+Every context of every language counts: the counts are a stored Spark table. The rows to be
+judged are stored once, as compressed blocks in parts of some 32 MB of text, with the distinct
+grams of each part. Every gram that is asked for is priced once, joined back to the parts that
+ask for it, and a part's blocks are read one after the other behind its prices.
 
 The language with the shortest code wins; ties go to the name that sorts first.
 """
@@ -18,25 +18,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from uuid import uuid4
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from broadsheet.llm.common import cut, fresh, utf8
+from broadsheet.llm.common import cut, utf8
 
 ORDER = 4
-MAX_CONTEXTS = 16_384
-MAX_CELLS = 40_000_000
 UNKNOWN = "und"
 PREDICTION = "lang_pred string, score double, bits_per_byte double, rejected boolean"
 
-# Texts are scored in parts of about so many bytes, and so many grams of the tree meet at once.
+# Texts are scored in parts of about so many bytes, stored in blocks of so many, and about so
+# many grams of the tree meet at once.
 PART_BYTES = 32 << 20
+BLOCK_BYTES = 1 << 20
 TREE_ROWS = 200_000
 
 _PAD = b"\n" * ORDER
@@ -44,22 +45,6 @@ _BLOCK = 1 << 16
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
 
-@dataclass(frozen=True, eq=False)
-class PpmModel:
-    """Counts of (language, context, byte), the contexts closed under both ends.
-
-    A context of ``length`` bytes is held as a number, the last byte lowest.
-    """
-
-    languages: tuple[str, ...]
-    lang: np.ndarray
-    length: np.ndarray
-    context: np.ndarray
-    byte: np.ndarray
-    count: np.ndarray
-    token: str = field(default_factory=lambda: uuid4().hex)
-
-
 # -- training ---------------------------------------------------------------
 
 
@@ -120,139 +105,6 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return grams, n
 
 
-def train_ppm(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_contexts: int = MAX_CONTEXTS, max_cells: int = MAX_CELLS
-) -> PpmModel:
-    """A model of every non-null language, learned from all rows of ``docs``.
-
-    Counts cover all texts. The finished model is bounded: it keeps the
-    ``max_contexts`` most frequent contexts of all languages together, or fewer where
-    256 bytes by the number of languages would pass ``max_cells`` code lengths. Rows
-    with a null text or language teach nothing; with none left there is no language.
-    """
-    counted = cut(count_grams(docs, text_col, lang_col))
-    languages = sorted(r.lang for r in counted.select("lang").distinct().collect())
-    bound = max(256, min(max_contexts, max_cells // (256 * max(1, len(languages)))))
-    suffixes = F.array(
-        *(
-            F.struct(
-                F.lit(k).alias("length"),
-                F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("context"),
-                F.col("gram").bitwiseAND(F.lit(255)).cast("int").alias("byte"),
-            )
-            for k in range(ORDER + 1)
-        )
-    )
-    by_context = counted.select("lang", "n", F.inline(suffixes)).groupBy("lang", "length", "context", "byte").agg(F.sum("n").alias("n"))
-    by_context = cut(by_context)
-    top = (
-        by_context.groupBy("length", "context")
-        .agg(F.sum("n").alias("total"))
-        .orderBy(F.desc("total"), "length", "context")
-        .limit(bound)
-    )
-    # at most max_contexts rows are broadcast
-    rows = by_context.join(F.broadcast(top.select("length", "context")), ["length", "context"]).toArrow()
-    rank = {lang: i for i, lang in enumerate(languages)}
-    column = lambda name: rows.column(name).to_numpy().astype(np.int64)
-    lang = np.array([rank[x] for x in rows.column("lang").to_pylist()], np.int64)
-    return _closed(PpmModel(tuple(languages), lang, column("length"), column("context"), column("byte"), column("n")))
-
-
-def _closed(model: PpmModel) -> PpmModel:
-    """Without contexts whose first or last bytes alone are no context (ties at the bound)."""
-    kept = {(0, 0)}
-    for length, context in sorted(set(zip(model.length.tolist(), model.context.tolist()))):
-        if length and {(length - 1, context >> 8), (length - 1, _shorter(length, context))} <= kept:
-            kept.add((length, context))
-    keep = np.array([k in kept for k in zip(model.length.tolist(), model.context.tolist())], bool)
-    return PpmModel(model.languages, *(c[keep] for c in (model.lang, model.length, model.context, model.byte, model.count)))
-
-
-def _shorter(length: int, context: int) -> int:
-    """A context without its first byte."""
-    return context & ((1 << 8 * (length - 1)) - 1)
-
-
-# -- frozen tables ----------------------------------------------------------
-
-
-class PpmTables:
-    """``classes`` of bytes, ``step`` of the automaton, ``bits`` by state, byte and language.
-
-    Bytes that no context has seen share class 0: they cost the same everywhere.
-    """
-
-    def __init__(self, model: PpmModel):
-        ends = [model.byte, *((model.context[model.length > i] >> 8 * i) & 255 for i in range(ORDER))]
-        seen = np.unique(np.concatenate(ends))
-        self.classes = np.zeros(256, np.int32)
-        self.classes[seen] = np.arange(len(seen)) + 1
-        self.width = len(seen) + 1
-        each = np.ones(self.width)
-        each[0] = 256 - len(seen)
-        states = sorted({(0, 0), *zip(model.length.tolist(), model.context.tolist())})
-        number = {s: i for i, s in enumerate(states)}
-        below = np.array([number[(k - 1, _shorter(k, c))] if k else 0 for k, c in states])
-        lengths = np.array([k for k, _ in states])
-
-        self.step = np.zeros((len(states), self.width), np.int32)
-        for k in range(ORDER + 1):
-            here = np.flatnonzero(lengths == k)
-            self.step[here] = self.step[below[here]] if k else 0
-            for i in np.flatnonzero(lengths == k + 1).tolist():
-                context = states[i][1]
-                self.step[number[(k, context >> 8)], self.classes[context & 255]] = i
-
-        row = np.array([number[s] for s in zip(model.length.tolist(), model.context.tolist())], np.int64)
-        self.bits = np.empty((len(states), self.width, len(model.languages)), np.float32)
-        for i in range(len(model.languages)):
-            own = model.lang == i
-            counts = np.zeros((len(states), self.width))
-            counts[row[own], self.classes[model.byte[own]]] = model.count[own]
-            chance = np.empty_like(counts)
-            for k in range(ORDER + 1):
-                here = np.flatnonzero(lengths == k)
-                shorter = chance[below[here]] if k else np.full((1, self.width), 1 / 256)
-                chance[here] = _blended(counts[here], shorter, each)
-            self.bits[:, :, i] = -np.log2(chance)
-
-    def code_lengths(self, text: bytes) -> np.ndarray:
-        """Bits of ``text`` under every language."""
-        total = np.zeros(self.bits.shape[2])
-        padded = np.frombuffer(_PAD + text, np.uint8)
-        for at in range(0, len(text), _BLOCK):
-            data = self.classes[padded[at : at + _BLOCK + ORDER]]
-            n = len(data) - ORDER
-            state = np.zeros(n, np.int32)
-            for i in range(ORDER):
-                state = self.step[state, data[i : i + n]]
-            total += self.bits[state, data[ORDER:]].sum(axis=0, dtype=np.float64)
-        return total
-
-
-def _blended(counts: np.ndarray, shorter: np.ndarray, each: np.ndarray) -> np.ndarray:
-    """A context's own counts, and its escapes shared among the bytes it has not seen."""
-    n, distinct = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
-    left = np.where(counts > 0, 0.0, shorter)
-    left_all = (left * each).sum(axis=1, keepdims=True)
-    escape = np.where(left_all > 0, distinct, 0)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        own = counts / (n + escape) + np.where(left_all > 0, left / left_all * (escape / (n + escape)), 0.0)
-    return np.where(n > 0, own, shorter)
-
-
-_TABLES: dict[str, PpmTables] = {}
-
-
-def _tables(model: PpmModel) -> PpmTables:
-    """A worker builds the tables of a model once and holds one model's at a time."""
-    if model.token not in _TABLES:
-        _TABLES.clear()
-        _TABLES[model.token] = PpmTables(model)
-    return _TABLES[model.token]
-
-
 # -- prediction -------------------------------------------------------------
 
 
@@ -260,29 +112,7 @@ def has_letter(text: bytes) -> bool:
     return bool(_ASCII_LETTER.search(text)) or any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
 
-def predict_language(docs: DataFrame, model: PpmModel, text_col: str = "text") -> Column:
-    """A struct of ``PREDICTION`` for each row of ``docs``.
-
-    A null text or one without a letter is ``und`` at score 0 and rejected. ``score`` is the
-    chance of the language if all are equally likely before. A text that no language codes
-    in less than 8 bits a byte, which needs no model, is rejected too, under the name of
-    the nearest one. Without any learned language every text is ``und``; only those without a
-    letter are rejected then.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf(PREDICTION)
-    def run(texts: pa.Array) -> pa.Array:
-        languages = shared.value.languages
-        tables = _tables(shared.value) if languages else None
-        rows = [_predicted(t.as_py(), tables, languages) for t in utf8(texts)]
-        kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_byte", pa.float64()), ("rejected", pa.bool_())])
-        return pa.array([dict(zip(("lang_pred", "score", "bits_per_byte", "rejected"), r)) for r in rows], kind)
-
-    return run.asNondeterministic()(text_col)
-
-
-def _predicted(text: bytes | None, tables: PpmTables | None, languages: tuple[str, ...]) -> tuple:
+def _predicted(text: bytes | None, tables: _Priced | None, languages: tuple[str, ...]) -> tuple:
     if not text or not has_letter(text):
         return UNKNOWN, 0.0, None, True
     if tables is None:
@@ -293,9 +123,6 @@ def _predicted(text: bytes | None, tables: PpmTables | None, languages: tuple[st
     return languages[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1074)).sum()), each, each >= 8
 
 
-# -- prediction with every context ------------------------------------------
-
-
 class PpmLevels:
     """Code lengths of one language's grams, from whole counts.
 
@@ -359,7 +186,14 @@ def judge_languages(
     part_bytes: int = PART_BYTES,
     tree_rows: int = TREE_ROWS,
 ) -> DataFrame:
-    """``columns`` of ``docs`` (all if none are named) with a struct ``out`` of ``PREDICTION``, as ``predict_language`` has it.
+    """``columns`` of ``docs`` (all if none are named) with a struct ``out`` of ``PREDICTION``.
+
+    A null text or one without a letter is ``und`` at score 0 and rejected. ``score`` is the
+    chance of the language if all are equally likely before. A text that no language codes
+    in less than 8 bits a byte, which needs no model, is rejected too, under the name of
+    the nearest one. Without any learned language every text is ``und``; only those without a
+    letter are rejected then. Repeated rows are judged each by itself, an empty table stays empty,
+    and rows of ``learned`` with a null text or language teach nothing.
 
     Every context of up to ``ORDER`` bytes in the rows of ``learned`` counts, however many there are
     and however rare its language is. Only orders 0 and 1, at most 65,536 counts a language,
@@ -377,38 +211,22 @@ def judge_languages(
             short[-1].add(pairs.column("gram").to_numpy()[own], pairs.column("n").to_numpy()[own])
     shared = docs.sparkSession.sparkContext.broadcast((languages, short))
 
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    parts = max(1, -(-size // part_bytes))
-    (part,) = fresh(docs, "part")
-    row = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
-    dealt = docs.withColumn(part, F.pmod(row, F.lit(parts))).repartition(parts, part)
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            texts: dict[int, list[bytes]] = {}
-            for number, t in zip(batch.column(part).to_pylist(), utf8(batch.column(text_col))):
-                texts.setdefault(number, []).append(t.as_py() or b"")
-            for number, some in texts.items():
-                own = held.setdefault(number, [])
-                own += map(np.unique, _grams(some))
-                if len(own) > 16:
-                    held[number] = [np.unique(np.concatenate(own))]
-        for number, own in held.items():
-            grams = np.unique(np.concatenate(own)).astype(np.int64) if own else np.empty(0, np.int64)
-            for at in range(0, len(grams), 1 << 16):
-                some = grams[at : at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number)), pa.array(some)], ["part", "gram"])
-
-    # with all columns, so that one shuffle of the rows serves here and below
-    asked = dealt.mapInArrow(distinct, "part long, gram long")
+    columns = columns or docs.columns
+    kept = docs.select(*(f"`{c}`" for c in dict.fromkeys([*columns, text_col])))
+    stored = cut(kept.mapInArrow(_stored(text_col, part_bytes), "task int, chunk int, block binary, grams array<bigint>"))
+    # parts are numbered without gaps where tasks have equally many, and dealt by number
+    tasks = max(1, stored.rdd.getNumPartitions())
+    parts = tasks * (1 + (stored.agg(F.max("chunk")).first()[0] or 0))
+    stored = stored.withColumn("part", F.col("chunk").cast("long") * tasks + F.col("task"))
+
+    asked = stored.select("part", F.explode("grams").alias("gram"))
     # grams whose contexts end alike meet: they share all orders but 0 and 1
-    meets = max(16, -(-counted.count() // tree_rows), 2 * parts)
+    meets = max(16, -(-counted.count() // tree_rows))
     ends = F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))), F.lit(meets)).alias("ends")
 
     def priced(tree: pa.Table, wanted: pa.Table) -> pa.Table:
         languages, short = shared.value
-        grams, where = np.unique(wanted.column("gram").to_numpy(), return_inverse=True)
+        grams = wanted.column("gram").to_numpy()
         bits = np.empty((len(grams), len(languages)), np.float32)
         lang = np.array(tree.column("lang").to_pylist(), object)
         for i, name in enumerate(languages):
@@ -418,30 +236,99 @@ def judge_languages(
                 model.add(tree.column("gram").to_numpy()[own], tree.column("n").to_numpy()[own])
             bits[:, i] = model.bits(grams)
         width = bits.shape[1] * 4
-        data = pa.py_buffer(bits[where].tobytes())
-        packed = pa.Array.from_buffers(pa.binary(width), len(where), [None, data]).cast(pa.binary())
-        return pa.table({"part": wanted.column("part"), "gram": wanted.column("gram"), "bits": packed})
-
-    columns = columns or docs.columns
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_byte", pa.float64()), ("rejected", pa.bool_())])
+        packed = pa.Array.from_buffers(pa.binary(width), len(grams), [None, pa.py_buffer(bits.tobytes())]).cast(pa.binary())
+        return pa.table({"gram": wanted.column("gram"), "bits": packed})
 
-    def judged(rows: pa.Table, known: pa.Table) -> pa.Table:
-        languages, _ = shared.value
-        grams = known.column("gram").to_numpy()
-        order = np.argsort(grams)
-        bits = np.frombuffer(b"".join(known.column("bits").to_pylist()), np.float32).reshape(len(grams), len(languages))
-        table = _Priced(grams[order], bits[order]) if languages else None
-        found = [_predicted(t.as_py(), table, languages) for t in utf8(rows.column(text_col).combine_chunks())]
-        names = ("lang_pred", "score", "bits_per_byte", "rejected")
-        return rows.select(columns).append_column(out, pa.array([dict(zip(names, r)) for r in found], kind))
-
-    priced_kind = "part long, gram long, bits binary"
+    blocks = stored.filter(F.col("block").isNotNull()).select("part", "block", F.lit(None).cast("long").alias("gram"), F.lit(None).cast("binary").alias("bits"))
     if languages:
-        known = counted.select(ends, "lang", "gram", "n").groupBy("ends").cogroup(asked.select(ends, "part", "gram").groupBy("ends")).applyInArrow(priced, priced_kind)
-    else:
-        known = docs.sparkSession.createDataFrame([], priced_kind)
+        once = asked.select("gram").distinct().select(ends, "gram")
+        prices = counted.select(ends, "lang", "gram", "n").groupBy("ends").cogroup(once.groupBy("ends")).applyInArrow(priced, "gram long, bits binary")
+        blocks = blocks.unionByName(asked.join(prices, "gram").withColumn("block", F.lit(None).cast("binary")))
+    number = F.pmod("part", F.lit(parts)).cast("int")
+    ready = blocks.repartitionById(parts, number).sortWithinPartitions("part", F.col("block").isNotNull(), "gram")
     schema = docs.select(*(f"`{c}`" for c in columns)).schema.add(out, StructType.fromDDL(PREDICTION))
-    return dealt.groupBy(part).cogroup(known.groupBy("part")).applyInArrow(judged, schema)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages, _ = shared.value
+        part, held, table = None, [], None
+        for batch in batches:
+            numbers = batch.column("part").to_numpy()
+            bounds = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for low, high in zip(bounds, bounds[1:]):
+                if low == high:
+                    continue
+                if numbers[low] != part:
+                    part, held, table = numbers[low], [], None
+                run = batch.slice(low, high - low)
+                is_block = pc.is_valid(run.column("block"))
+                prices = run.filter(pc.invert(is_block))
+                if len(prices):
+                    held.append((prices.column("gram").to_numpy(), np.frombuffer(b"".join(prices.column("bits").to_pylist()), np.float32)))
+                for block in run.column("block").filter(is_block):
+                    if table is None and languages:
+                        table = _Priced.of(held, len(languages))
+                        held = []
+                    for rows in pa.ipc.open_stream(block.as_buffer()):
+                        yield _with_verdicts(rows, columns, text_col, table, languages, out)
+
+    return ready.mapInArrow(judged, schema)
+
+
+def _stored(text_col: str, part_bytes: int):
+    """Rows as compressed blocks, each part of a task followed by its distinct grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packing = pa.ipc.IpcWriteOptions(compression="zstd")
+        task, chunk, size, seen = TaskContext.get().partitionId(), 0, 0, []
+        for batch in batches:
+            texts = utf8(batch.column(text_col))
+            lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            for low, high in _slices(lengths, min(BLOCK_BYTES, part_bytes)):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=packing) as writer:
+                    writer.write_batch(batch.slice(low, high - low))
+                yield _stored_row(task, chunk, sink.getvalue().to_pybytes(), None)
+                seen += map(np.unique, _grams([t.as_py() or b"" for t in texts[low:high]]))
+                size += int(lengths[low:high].sum())
+                if len(seen) > 16:
+                    seen = [np.unique(np.concatenate(seen))]
+                if size >= part_bytes:
+                    yield from _gram_rows(task, chunk, seen)
+                    chunk, size, seen = chunk + 1, 0, []
+        yield from _gram_rows(task, chunk, seen)
+
+    return run
+
+
+def _slices(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``limit`` bytes, one row at least."""
+    total, low = np.cumsum(lengths), 0
+    while low < len(lengths):
+        before = total[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(total, before + limit, "right")))
+        yield low, high
+        low = high
+
+
+def _gram_rows(task: int, chunk: int, seen: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    grams = np.unique(np.concatenate(seen)).astype(np.int64) if seen else np.empty(0, np.int64)
+    for at in range(0, len(grams), _BLOCK):
+        yield _stored_row(task, chunk, None, grams[at : at + _BLOCK])
+
+
+def _stored_row(task: int, chunk: int, block: bytes | None, grams: np.ndarray | None) -> pa.RecordBatch:
+    listed = pa.array([None], pa.list_(pa.int64())) if grams is None else pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), pa.array(grams))
+    columns = [pa.array([task], pa.int32()), pa.array([chunk], pa.int32()), pa.array([block], pa.binary()), listed]
+    return pa.RecordBatch.from_arrays(columns, ["task", "chunk", "block", "grams"])
+
+
+def _with_verdicts(
+    rows: pa.RecordBatch, columns: list[str], text_col: str, table: _Priced | None, languages: tuple[str, ...], out: str
+) -> pa.RecordBatch:
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_byte", pa.float64()), ("rejected", pa.bool_())])
+    names = [field.name for field in kind]
+    found = [dict(zip(names, _predicted(t.as_py(), table, languages))) for t in utf8(rows.column(text_col))]
+    return pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.array(found, kind)], [*columns, out])
 
 
 @dataclass(frozen=True, eq=False)
@@ -451,11 +338,17 @@ class _Priced:
     grams: np.ndarray
     bits: np.ndarray
 
+    @classmethod
+    def of(cls, held: list[tuple[np.ndarray, np.ndarray]], width: int) -> _Priced:
+        grams = np.concatenate([g for g, _ in held]) if held else np.empty(0, np.int64)
+        bits = np.concatenate([b for _, b in held]) if held else np.empty(0, np.float32)
+        return cls(grams, bits.reshape(len(grams), width))
+
     def code_lengths(self, text: bytes) -> np.ndarray:
         total = np.zeros(self.bits.shape[1])
         for some in _grams([text]):
             at, seen = _found(self.grams, some.astype(np.int64))
             if not seen.all():
-                raise ValueError("a text's grams changed while it was scored")
+                raise ValueError("a gram of the text has no price")
             total += self.bits[at].sum(axis=0, dtype=np.float64)
         return total

@@ -1,21 +1,11 @@
 import zlib
 
 import numpy as np
-import pytest
 
 from broadsheet.llm import langid
 from broadsheet.llm.queries import QUERIES
 
 
-def learned(model):
-    """Counts by language and context of up to four bytes, as the model holds them."""
-    out = {}
-    for lang, length, context, byte, n in zip(model.lang, model.length, model.context, model.byte, model.count):
-        key = int(context).to_bytes(int(length), "big")
-        out.setdefault(model.languages[lang], {}).setdefault(key, {})[int(byte)] = int(n)
-    return out
-
-
 def plain_bits(counts, known, text):
     """Code length byte by byte, escaping from the longest context."""
 
@@ -39,24 +29,14 @@ def plain_bits(counts, known, text):
     return bits
 
 
-@pytest.fixture(scope="module")
-def model(spark, odd_docs):
-    return langid.train_ppm(odd_docs.filter("doc_id != 6"))
-
-
-def test_code_lengths_are_exact(model):
-    tables, counts = langid.PpmTables(model), learned(model)
-    known = {c for by in counts.values() for c in by} | {b""}
-    for text in (b"one two, three.\n", "Wörds \U0001f600".encode(), b"\x00\x01zz", b"a"):
-        want = [plain_bits(counts[lang], known, text) for lang in model.languages]
-        assert np.allclose(tables.code_lengths(text), want, rtol=1e-4)
-
-
-def test_chances_add_up(model):
-    tables = langid.PpmTables(model)
-    each = np.ones(tables.width)
-    each[0] = 256 - tables.width + 1
-    assert np.allclose((2.0 ** -tables.bits.astype(float) * each[None, :, None]).sum(axis=1), 1, atol=1e-4)
+def test_chances_add_up(spark, odd_docs):
+    rows = langid.count_grams(odd_docs).filter("lang = 'en'").collect()
+    levels = langid.PpmLevels()
+    for _ in range(langid.ORDER + 1):
+        levels.add(np.array([r.gram for r in rows]), np.array([r.n for r in rows]))
+    for context in (b"\n\n\n\n", b"word", b"zzzz", b"\x00\xff\x01\x02"):
+        grams = (int.from_bytes(context, "big") << 8) + np.arange(256)
+        assert np.isclose((2.0 ** -levels.bits(grams)).sum(), 1)
 
 
 def test_counts_cover_all_texts(spark, odd_docs, odd_rows):
@@ -68,14 +48,6 @@ def test_counts_cover_all_texts(spark, odd_docs, odd_rows):
     assert total == {k: v for k, v in want.items() if v}
 
 
-def test_bounded_model_is_closed(spark, odd_docs):
-    small = langid.train_ppm(odd_docs, max_contexts=300)
-    contexts = set(zip(small.length.tolist(), small.context.tolist()))
-    assert 1 < len(contexts) <= 300
-    for length, context in contexts - {(0, 0)}:
-        assert (length - 1, context >> 8) in contexts and (length - 1, context & (1 << 8 * (length - 1)) - 1) in contexts
-
-
 def test_held_out_accuracy(spark, sf, documents):
     rows = QUERIES["op4_language_id"](spark, sf).collect()
     assert sorted(r.doc_id for r in rows) == sorted(documents)
@@ -85,20 +57,6 @@ def test_held_out_accuracy(spark, sf, documents):
     assert not any(r.rejected for r in rows)
 
 
-def test_odd_rows(spark, odd_docs, odd_rows, no_docs, model):
-    rows = odd_docs.select("doc_id", "text", langid.predict_language(odd_docs, model).alias("p")).collect()
-    assert len(rows) == len(odd_rows)
-    for r in rows:
-        letters = any(c.isalpha() for c in r.text or "")
-        assert (r.p.lang_pred == "und") == (not letters) and (r.p.score == 0) == (not letters)
-        assert r.p.rejected or letters
-    none = langid.train_ppm(no_docs)
-    assert none.languages == () and no_docs.select(langid.predict_language(no_docs, none)).collect() == []
-    rows = odd_docs.select("text", langid.predict_language(odd_docs, none).alias("p")).collect()
-    assert {r.p.lang_pred for r in rows} == {"und"}
-    assert all(r.p.rejected == (not any(c.isalpha() for c in r.text or "")) for r in rows)
-
-
 def test_a_rare_language_keeps_every_context(spark):
     rng = np.random.default_rng(3)
     big = ["".join(map(chr, rng.integers(97, 123, 30_000))) for _ in range(4)]
@@ -113,7 +71,7 @@ def test_a_rare_language_keeps_every_context(spark):
                 own = counts.setdefault(lang, {}).setdefault(padded[i - k : i], {})
                 own[padded[i]] = own.get(padded[i], 0) + 1
     known = {c for by in counts.values() for c in by} | {b""}
-    assert len(known) > langid.MAX_CONTEXTS
+    assert len(known) > 16_384
     asked = [*rare, "unseen Ελλ λόγια \U0001f600 zq", big[0][:2000], None, "", "12"]
     texts = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
     for part_bytes in (langid.PART_BYTES, 500):
@@ -128,14 +86,28 @@ def test_a_rare_language_keeps_every_context(spark):
             assert np.isclose(got[i].bits_per_byte * len(data), min(want.values()), rtol=1e-5)
 
 
-def test_odd_rows_with_every_context(spark, odd_docs, odd_rows, no_docs):
+def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     rows = langid.judge_languages(odd_docs, odd_docs, "p").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in rows) == sorted((r[0] or 0, r[1] or "") for r in odd_rows)
-    assert all((r.p.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")) for r in rows)
+    for r in rows:
+        letters = any(c.isalpha() for c in r.text or "")
+        assert (r.p.lang_pred == "und") == (not letters) and (r.p.score == 0) == (not letters)
+        assert r.p.rejected or letters
     assert langid.judge_languages(no_docs, odd_docs, "p").count() == 0
-    assert {r.p.lang_pred for r in langid.judge_languages(odd_docs, no_docs, "p").collect()} == {"und"}
+    rows = langid.judge_languages(odd_docs, no_docs, "p").collect()
+    assert {r.p.lang_pred for r in rows} == {"und"}
+    assert all(r.p.rejected == (not any(c.isalpha() for c in r.text or "")) for r in rows)
+
+
+def test_repeated_rows_and_small_parts(spark):
+    texts = ["the cat sat on the mat"] * 40 + ["le chat est sur le tapis"] * 20 + [None, ""]
+    docs = spark.createDataFrame([(None, t, "en" if t and t[0] == "t" else "fr") for t in texts], "doc_id long, text string, lang string").repartition(7)
+    for part_bytes in (1, 100, langid.PART_BYTES):
+        rows = langid.judge_languages(docs, docs, "p", part_bytes=part_bytes, tree_rows=5).collect()
+        assert len(rows) == len(texts) and all(r.p.lang_pred == (r.lang if r.text else "und") for r in rows)
 
 
-def test_strange_text_is_rejected(spark, model):
+def test_strange_text_is_rejected(spark, odd_docs):
     docs = spark.createDataFrame([("漢字仮名交じり文" * 30,), ("plain words of text",)], "text string")
-    assert [r.p.rejected for r in docs.select(langid.predict_language(docs, model).alias("p")).collect()] == [True, False]
+    found = langid.judge_languages(docs, odd_docs.filter("doc_id != 6"), "p").collect()
+    assert {r.text[0]: r.p.rejected for r in found} == {"漢": True, "p": False}
