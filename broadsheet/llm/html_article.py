@@ -8,7 +8,13 @@ short notes inside the article rise with its paragraphs while what stands outsid
 does not. Paths above a share of the best score are content, and all their blocks are kept.
 
 Elements and class names that state what they are (menus, footers, adverts, ...) weigh
-nothing, and those that state the article weigh more.
+nothing, and those that state the article weigh more. A name that says it among other words
+(``post-header``, ``notice-period``) halves a path's own score only, and one that says what an
+element has or lacks (``has-sidebar``) says nothing. A name, or a form, around the article
+or around most of the page's text is no such statement: the ratios decide there.
+
+Paths are numbers in a tree of steps, so a page takes time in proportion to its length,
+however deep, broken or hostile it is.
 """
 
 from __future__ import annotations
@@ -43,29 +49,106 @@ _BOILERPLATE_WORDS = set(
     "header masthead topbar toolbar comment comments disqus respond reply share sharing social related recommended popup modal overlay "
     "widget pagination pager".split()
 )
+# Words beside those that leave them what they are, and words that turn them into a property.
+_COMPANIONS = set(
+    "site page main top bottom left right inner outer box bar bars slot unit container wrapper wrap section block area list item items "
+    "body text form link links button buttons icon icons posts articles stories thread author meta primary secondary global fixed sticky".split()
+)
+_PROPERTY = {"has", "no", "not", "non", "with", "without"}
 _ARTICLE_TAGS = {"article", "main"}
+# An element with this share of a page's text outside links is no boilerplate for its name.
+MOST = 0.8
 
 _TOKEN = re.compile(
-    # a self-closed svg is empty and is tried first; behind a raw element's name its tag goes on or ends
+    # a self-closed svg is empty and is tried first; behind a raw element's name its tag goes on or ends; quotes count behind = only
     rf"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^\"'>/]|/(?!>)|\"[^\"]*+\"|'[^']*+')*+/>|<({_RAW})(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\Z)"
-    rf"|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>",
+    rf"|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>",
     re.S | re.I,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
+_ORDINARY, _WEAK, _NAMED, _FORM, _STRONG = range(5)
+
+
+class Paths:
+    """The tree of a page's paths: node 0 is the empty path, a node's parent has a smaller number."""
+
+    def __init__(self):
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.parent, self.step, self.tag, self.kind, self.inside = [0], [""], [""], [_ORDINARY], [False]
+
+    def below(self, parent: int, tag: str, attributes: str) -> int:
+        names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower() if "=" in attributes else ""
+        step = f"{tag}.{names}" if names else tag
+        node = self.numbers.setdefault((parent, step), len(self.parent))
+        if node == len(self.parent):
+            # a header inside the article is the article's own
+            kind = _kind(tag, names, self.inside[parent])
+            self.parent.append(parent)
+            self.step.append(step)
+            self.tag.append(tag)
+            self.kind.append(kind)
+            self.inside.append(self.inside[parent] or tag in _ARTICLE_TAGS and kind != _NAMED)
+        return node
+
+    def weights(self, text: list[int]) -> list[float]:
+        """Every path's weight, given the text outside links directly at each."""
+        n = len(self.parent)
+        total, article, prose = text[:], [False] * n, [False] * n
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            total[up] += total[i]
+            article[up] |= article[i] or self.inside[i] and not self.inside[up]
+            prose[up] |= prose[i] or self.tag[i] in ("p", "h1")
+        out = [1.0] * n
+        for i in range(1, n):
+            kind, most = self.kind[i], total[i] > 0 and total[i] >= MOST * total[0]
+            lifted = kind == _NAMED and (most or article[i]) or kind == _FORM and (most and prose[i] or article[i])
+            named_main = "main" in _WORDS.findall(self.step[i].partition(".")[2])
+            if kind >= _NAMED and not lifted:
+                out[i] = 0.0
+            elif self.tag[i] in _ARTICLE_TAGS or named_main:
+                out[i] = out[self.parent[i]] and ARTICLE_WEIGHT
+            else:
+                out[i] = out[self.parent[i]]
+        return out
+
+
+def _kind(tag: str, names: str, inside: bool) -> int:
+    """What an element's tag and names state about it."""
+    if tag in ("html", "body", "main"):
+        return _ORDINARY
+    if tag == "form":
+        return _FORM
+    if tag in _BOILERPLATE_TAGS or (tag == "header" and not inside):
+        return _STRONG
+    if tag == "header":
+        return _ORDINARY
+    found = _ORDINARY
+    for name in names.split():
+        words = set(_WORDS.findall(name))
+        if words & _BOILERPLATE_WORDS and not words & _PROPERTY:
+            if words <= _BOILERPLATE_WORDS | _COMPANIONS:
+                return _NAMED
+            found = _WEAK
+    return found
+
+
 class _Block:
-    __slots__ = ("path", "weight", "parts", "text", "links")
+    __slots__ = ("path", "parts", "text", "links")
 
-    def __init__(self, path: tuple[str, ...], weight: float):
-        self.path, self.weight, self.parts, self.text, self.links = path, weight, [], "", 0
+    def __init__(self, path: int):
+        self.path, self.parts, self.text, self.links = path, [], "", 0
 
 
-def blocks_of(page: str) -> list[_Block]:
-    """The blocks with text, in page order. Markup is read leniently and never fails."""
-    stack: list[tuple[str, str, float]] = []  # tag, its step in a path, weight so far
+def blocks_of(page: str) -> tuple[list[_Block], Paths]:
+    """The blocks with text, in page order, and their paths. Markup is read leniently and never fails."""
+    paths = Paths()
+    stack: list[tuple[str, int]] = []  # tag, path
+    places: dict[str, list[int]] = {}  # where a tag is open
     done: list[_Block] = []
     block: _Block | None = None
 
@@ -84,82 +167,88 @@ def blocks_of(page: str) -> list[_Block]:
         if block is None:
             if text.isspace():
                 return
-            steps = [x for x in stack if x[0] not in _INLINE]
-            block = _Block(tuple(x[1] for x in steps), stack[-1][2] if stack else 1.0)
+            block = _Block(stack[-1][1] if stack else 0)
         text = html.unescape(text)
         block.parts.append(text)
-        if any(x[0] == "a" for x in stack):
+        if places.get("a"):
             block.links += len(text)
 
-    def pop_to(tags: set[str], until: set[str]) -> None:
-        for i in reversed(range(len(stack))):
-            if stack[i][0] in until:
-                return
-            if stack[i][0] in tags:
-                del stack[i:]
-                return
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
+    def pop_to(tags, until=()) -> None:
+        at = last(tags)
+        if at > last(until):
+            while len(stack) > at:
+                places[stack.pop()[0]].pop()
 
-    at = 0
-    for token in _TOKEN.finditer(page):
+    # nothing behind the last > is a tag
+    at, end = 0, page.rfind(">") + 1
+    for token in _TOKEN.finditer(page, 0, end):
         add(page[at : token.start()])
         at = token.end()
         if not token[3]:
+            if at == end and (token[0].startswith("<!--") and not token[0].endswith("-->") or token[1] and not re.search(r"</[a-z]+\s*>\Z", token[0][-99:], re.I)):
+                at = len(page)  # open to the end of the page
             continue
         tag = token[3].lower()
         inline = tag in _INLINE
         if not inline:
             close()
         if token[2]:
-            pop_to({tag}, set())
+            pop_to((tag,))
             continue
         if tag == "br":
             add(" ")
         if not inline:
-            pop_to({"p"}, {"table", "td", "th", "button"})
+            pop_to(("p",), ("table", "td", "th", "button"))
             if tag in _ENDS:
                 pop_to(_ENDS[tag], _HOLDS[tag])
         if tag not in _VOID:
-            stack.append((tag, *_step(tag, token[4], stack)))
-    add(page[at:])
+            above = stack[-1][1] if stack else 0
+            places.setdefault(tag, []).append(len(stack))
+            stack.append((tag, above if inline else paths.below(above, tag, token[4])))
+    rest = page[at:]
+    opened = re.search(r"<[!?]", rest)
+    add(rest[: opened.start()] if opened else rest)
     close()
-    return done
+    return done, paths
 
 
-def _step(tag: str, attributes: str, stack: list) -> tuple[str, float]:
-    """An element's step in a path, with its names, and its weight."""
-    weight = stack[-1][2] if stack else 1.0
-    names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower() if "=" in attributes else ""
-    words = set(_WORDS.findall(names))
-    # a header inside the article is the article's own
-    inside = any(x[0] in _ARTICLE_TAGS for x in stack)
-    page_wide = tag in ("html", "body") or tag in _ARTICLE_TAGS
-    if tag in _BOILERPLATE_TAGS or (tag == "header" and not inside) or (words & _BOILERPLATE_WORDS and not page_wide and not (tag == "header" and inside)):
-        weight = 0.0
-    elif tag in _ARTICLE_TAGS or "main" in words:
-        weight = weight and ARTICLE_WEIGHT
-    return f"{tag}.{names}" if names else tag, weight
-
-
-def main_text(page: str, share: float = SHARE, links: float = LINKS) -> str:
-    """The article's blocks, joined by line ends; empty if the page has no text."""
-    blocks = blocks_of(page)
-    sums: dict[tuple[str, ...], list[float]] = {}
+def path_scores(blocks: list[_Block], paths: Paths, links: float = LINKS) -> dict[int, float]:
+    """The smoothed score of every path that has text."""
+    n = len(paths.parent)
+    sums: dict[int, list[int]] = {}
+    text = [0] * n
     for b in blocks:
-        own = sums.setdefault(b.path, [0, 0, 0, 0, b.weight])
+        own = sums.setdefault(b.path, [0, 0, 0, 0])
         own[0] += 1
         own[1] += len(b.text)
         own[2] += len(_PUNCTUATION.findall(b.text))
         own[3] += min(b.links, len(b.text))
-    score: dict[tuple[str, ...], float] = {}
-    best_in: dict[tuple[str, ...], float] = {}
-    for path, (n, length, marks, linked, weight) in sums.items():
-        score[path] = weight * (length - linked) / n * (1 + marks / n)
-        best_in[path[:-1]] = max(best_in.get(path[:-1], 0.0), score[path])
+        text[b.path] += len(b.text) - min(b.links, len(b.text))
+    weights = paths.weights(text)
+    score, best_in = {}, [0.0] * n
+    for path, (count, length, marks, linked) in sums.items():
+        weak = 0.5 if paths.kind[path] == _WEAK else 1.0
+        score[path] = weak * weights[path] * (length - linked) / count * (1 + marks / count)
+        up = paths.parent[path]
+        best_in[up] = max(best_in[up], score[path])
+    # the best of what stands directly in an element or in one around it, the page itself apart
+    around = [0.0] * n
+    for i in range(1, n):
+        around[i] = max(around[paths.parent[i]], 0.0 if paths.step[i] in ("html", "body") else best_in[i])
     smooth = {}
-    for path, (_, length, _, linked, weight) in sums.items():
-        around = (path[:k] for k in range(len(path)) if k == len(path) - 1 or path[k - 1 : k] not in ((), ("html",), ("body",)))
-        near = max((best_in.get(a, 0.0) for a in around), default=0.0)
-        smooth[path] = (score[path] + near) / 2 if weight and linked <= links * length else 0.0
+    for path, (_, length, _, linked) in sums.items():
+        near = max(best_in[paths.parent[path]], around[paths.parent[path]]) if path else 0.0
+        smooth[path] = (score[path] + near) / 2 if weights[path] and linked <= links * length else 0.0
+    return smooth
+
+
+def main_text(page: str, share: float = SHARE, links: float = LINKS) -> str:
+    """The article's blocks, joined by line ends; empty if the page has no text."""
+    blocks, paths = blocks_of(page)
+    smooth = path_scores(blocks, paths, links)
     top = max(smooth.values(), default=0.0)
     return "\n".join(b.text for b in blocks if smooth[b.path] >= share * top > 0)
 
