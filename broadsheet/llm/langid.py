@@ -7,9 +7,9 @@ next shorter one, which codes it among the bytes not excluded so far, down to 25
 bytes. The statistics are frozen.
 
 Every context of every language counts: the counts are a stored Spark table. The rows to be
-judged are stored once, as compressed blocks in parts of some 32 MB of text, with the distinct
-grams of each part. Every gram that is asked for is priced once, joined back to the parts that
-ask for it, and a part's blocks are read one after the other behind its prices.
+judged are shuffled once, as compressed blocks in parts of some 64 MB of text. Every gram that any
+part asks for is priced once and joined back to the parts that ask for it; a part's blocks are
+read one after the other beside its prices.
 
 The language with the shortest code wins; ties go to the name that sorts first.
 """
@@ -22,13 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from broadsheet.llm.common import cut, utf8
+from broadsheet.llm.common import cut, fresh, utf8
 
 ORDER = 4
 UNKNOWN = "und"
@@ -36,8 +36,10 @@ PREDICTION = "lang_pred string, score double, bits_per_byte double, rejected boo
 
 # Texts are scored in parts of about so many bytes, stored in blocks of so many, and about so
 # many grams of the tree meet at once.
-PART_BYTES = 32 << 20
+PART_BYTES = 64 << 20
 BLOCK_BYTES = 1 << 20
+# A task deals its rows over so many parts.
+SPREAD = 64
 TREE_ROWS = 200_000
 
 _PAD = b"\n" * ORDER
@@ -212,14 +214,14 @@ def judge_languages(
     shared = docs.sparkSession.sparkContext.broadcast((languages, short))
 
     columns = columns or docs.columns
-    kept = docs.select(*(f"`{c}`" for c in dict.fromkeys([*columns, text_col])))
-    stored = cut(kept.mapInArrow(_stored(text_col, part_bytes), "task int, chunk int, block binary, grams array<bigint>"))
-    # parts are numbered without gaps where tasks have equally many, and dealt by number
-    tasks = max(1, stored.rdd.getNumPartitions())
-    parts = tasks * (1 + (stored.agg(F.max("chunk")).first()[0] or 0))
-    stored = stored.withColumn("part", F.col("chunk").cast("long") * tasks + F.col("task"))
-
-    asked = stored.select("part", F.explode("grams").alias("gram"))
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    parts = max(1, -(-size // part_bytes))
+    (row,) = fresh(docs, "row")
+    hashed = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
+    kept = docs.select(*(f"`{c}`" for c in dict.fromkeys([*columns, text_col])), F.pmod(hashed, F.lit(SPREAD)).alias(row))
+    # both uses read all columns, so that one shuffle of the blocks serves them
+    dealt = kept.mapInArrow(_packed(text_col, row, parts), "part long, block binary").repartition(parts, "part")
+    asked = dealt.mapInArrow(_distinct(text_col), "part long, gram long")
     # grams whose contexts end alike meet: they share all orders but 0 and 1
     meets = max(16, -(-counted.count() // tree_rows))
     ends = F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))), F.lit(meets)).alias("ends")
@@ -239,87 +241,85 @@ def judge_languages(
         packed = pa.Array.from_buffers(pa.binary(width), len(grams), [None, pa.py_buffer(bits.tobytes())]).cast(pa.binary())
         return pa.table({"gram": wanted.column("gram"), "bits": packed})
 
-    blocks = stored.filter(F.col("block").isNotNull()).select("part", "block", F.lit(None).cast("long").alias("gram"), F.lit(None).cast("binary").alias("bits"))
+    def judged(blocks: pa.Table, known: pa.Table) -> pa.Table:
+        languages, _ = shared.value
+        grams = known.column("gram").to_numpy()
+        order = np.argsort(grams)
+        bits = np.frombuffer(b"".join(known.column("bits").to_pylist()), np.float32).reshape(len(grams), len(languages))
+        table = _Priced(grams[order], bits[order]) if languages else None
+        found = [_with_verdicts(rows, columns, text_col, table, languages, out) for rows in _rows_of(blocks.column("block"))]
+        return pa.Table.from_batches(found, to_arrow_schema(schema) if not found else None)
+
+    schema = docs.select(*(f"`{c}`" for c in columns)).schema.add(out, StructType.fromDDL(PREDICTION))
     if languages:
         once = asked.select("gram").distinct().select(ends, "gram")
         prices = counted.select(ends, "lang", "gram", "n").groupBy("ends").cogroup(once.groupBy("ends")).applyInArrow(priced, "gram long, bits binary")
-        blocks = blocks.unionByName(asked.join(prices, "gram").withColumn("block", F.lit(None).cast("binary")))
-    number = F.pmod("part", F.lit(parts)).cast("int")
-    ready = blocks.repartitionById(parts, number).sortWithinPartitions("part", F.col("block").isNotNull(), "gram")
-    schema = docs.select(*(f"`{c}`" for c in columns)).schema.add(out, StructType.fromDDL(PREDICTION))
+        known = asked.join(prices, "gram").select("part", "gram", "bits")
+    else:
+        known = docs.sparkSession.createDataFrame([], "part long, gram long, bits binary")
+    return dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(judged, schema)
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, _ = shared.value
-        part, held, table = None, [], None
-        for batch in batches:
-            numbers = batch.column("part").to_numpy()
-            bounds = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
-            for low, high in zip(bounds, bounds[1:]):
-                if low == high:
-                    continue
-                if numbers[low] != part:
-                    part, held, table = numbers[low], [], None
-                run = batch.slice(low, high - low)
-                is_block = pc.is_valid(run.column("block"))
-                prices = run.filter(pc.invert(is_block))
-                if len(prices):
-                    held.append((prices.column("gram").to_numpy(), np.frombuffer(b"".join(prices.column("bits").to_pylist()), np.float32)))
-                for block in run.column("block").filter(is_block):
-                    if table is None and languages:
-                        table = _Priced.of(held, len(languages))
-                        held = []
-                    for rows in pa.ipc.open_stream(block.as_buffer()):
-                        yield _with_verdicts(rows, columns, text_col, table, languages, out)
-
-    return ready.mapInArrow(judged, schema)
-
-
-def _stored(text_col: str, part_bytes: int):
-    """Rows as compressed blocks, each part of a task followed by its distinct grams."""
+
+def _packed(text_col: str, row: str, parts: int):
+    """Rows as compressed blocks of one part each.
+
+    A task deals its rows over ``SPREAD`` parts by their hashes, each task from another part on: a
+    row's part depends on nothing but the row and its task, and copies of one row, however many,
+    meet only as far as one task reads them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packing = pa.ipc.IpcWriteOptions(compression="zstd")
-        task, chunk, size, seen = TaskContext.get().partitionId(), 0, 0, []
+        first = TaskContext.get().partitionId() * SPREAD
+        held: dict[int, list[pa.RecordBatch]] = {}
+        sizes: dict[int, int] = {}
         for batch in batches:
-            texts = utf8(batch.column(text_col))
-            lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-            for low, high in _slices(lengths, min(BLOCK_BYTES, part_bytes)):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=packing) as writer:
-                    writer.write_batch(batch.slice(low, high - low))
-                yield _stored_row(task, chunk, sink.getvalue().to_pybytes(), None)
-                seen += map(np.unique, _grams([t.as_py() or b"" for t in texts[low:high]]))
-                size += int(lengths[low:high].sum())
-                if len(seen) > 16:
-                    seen = [np.unique(np.concatenate(seen))]
-                if size >= part_bytes:
-                    yield from _gram_rows(task, chunk, seen)
-                    chunk, size, seen = chunk + 1, 0, []
-        yield from _gram_rows(task, chunk, seen)
+            numbers = (first + batch.column(row).to_numpy()) % parts
+            rows = batch.drop_columns([row])
+            for number in np.unique(numbers).tolist():
+                own = rows.take(pa.array(np.flatnonzero(numbers == number)))
+                held.setdefault(number, []).append(own)
+                sizes[number] = sizes.get(number, 0) + own.nbytes
+                if sizes[number] >= BLOCK_BYTES:
+                    yield _block(number, held.pop(number))
+                    sizes[number] = 0
+        for number, own in held.items():
+            yield _block(number, own)
 
     return run
 
 
-def _slices(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Runs of rows of about ``limit`` bytes, one row at least."""
-    total, low = np.cumsum(lengths), 0
-    while low < len(lengths):
-        before = total[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(total, before + limit, "right")))
-        yield low, high
-        low = high
+def _block(part: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    with pa.ipc.new_stream(sink, batches[0].schema, options=options) as writer:
+        writer.write_table(pa.Table.from_batches(batches).combine_chunks())
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["part", "block"])
 
 
-def _gram_rows(task: int, chunk: int, seen: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    grams = np.unique(np.concatenate(seen)).astype(np.int64) if seen else np.empty(0, np.int64)
-    for at in range(0, len(grams), _BLOCK):
-        yield _stored_row(task, chunk, None, grams[at : at + _BLOCK])
+def _rows_of(blocks: pa.ChunkedArray | pa.Array) -> Iterator[pa.RecordBatch]:
+    for block in blocks:
+        yield from pa.ipc.open_stream(block.as_buffer())
 
 
-def _stored_row(task: int, chunk: int, block: bytes | None, grams: np.ndarray | None) -> pa.RecordBatch:
-    listed = pa.array([None], pa.list_(pa.int64())) if grams is None else pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), pa.array(grams))
-    columns = [pa.array([task], pa.int32()), pa.array([chunk], pa.int32()), pa.array([block], pa.binary()), listed]
-    return pa.RecordBatch.from_arrays(columns, ["task", "chunk", "block", "grams"])
+def _distinct(text_col: str):
+    """The distinct grams of each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for number, block in zip(batch.column("part").to_pylist(), batch.column("block")):
+                own = held.setdefault(number, [])
+                for rows in pa.ipc.open_stream(block.as_buffer()):
+                    own += map(np.unique, _grams([t.as_py() or b"" for t in utf8(rows.column(text_col))]))
+                if len(own) > 16:
+                    held[number] = [np.unique(np.concatenate(own))]
+        for number, own in held.items():
+            grams = np.unique(np.concatenate(own)).astype(np.int64) if own else np.empty(0, np.int64)
+            for at in range(0, len(grams), _BLOCK):
+                some = grams[at : at + _BLOCK]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), number)), pa.array(some)], ["part", "gram"])
+
+    return run
 
 
 def _with_verdicts(
@@ -338,12 +338,6 @@ class _Priced:
     grams: np.ndarray
     bits: np.ndarray
 
-    @classmethod
-    def of(cls, held: list[tuple[np.ndarray, np.ndarray]], width: int) -> _Priced:
-        grams = np.concatenate([g for g, _ in held]) if held else np.empty(0, np.int64)
-        bits = np.concatenate([b for _, b in held]) if held else np.empty(0, np.float32)
-        return cls(grams, bits.reshape(len(grams), width))
-
     def code_lengths(self, text: bytes) -> np.ndarray:
         total = np.zeros(self.bits.shape[1])
         for some in _grams([text]):
