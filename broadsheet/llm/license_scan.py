@@ -138,7 +138,7 @@ def find_licenses(
     empty. Templates beyond ``round_size`` are searched for in further rounds over the texts.
     """
     base = docs.columns
-    words, shingles = fresh(docs, "words", "shingles")
+    words, shingles, near = fresh(docs, "words", "shingles", "near")
     found = docs.withColumn(words, words_of(F.coalesce(F.col(text_col), F.lit("")))).withColumn(shingles, shingles_of(F.col(words)))
     parts, rounds = [], 0
     for rounds, part in enumerate(template_rounds(templates, template_id, template_text, round_size), 1):
@@ -146,7 +146,10 @@ def find_licenses(
             found = cut(found)
         (name,) = fresh(found, f"{out}_{rounds}")
         parts.append(name)
-        found = _one_round(found, part, name, shingles, containment, certainty)
+        # a text without any of the templates' shingles contains no share of them and has no window to look at
+        sought = F.lit(sorted({h for _, own in part for h in own})).cast(_LONGS)
+        found = found.withColumn(near, F.when(F.arrays_overlap(shingles, sought), F.col(shingles)).otherwise(F.array().cast(_LONGS)))
+        found = _one_round(found, part, name, near, containment, certainty)
     none = F.array().cast("array<struct<license_id:string,containment:double,window:int>>")
     return found.select(*base, F.array_sort(F.concat(none, *parts)).alias(out))
 
