@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,6 +53,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, bucket_by: str | None = None, buckets: int = 0) -> DataFrame:
+    """``df`` as a compressed Parquet table of its own in the shared folder, bucketed if a column is named."""
+    spark, name = df.sparkSession, f"stored_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    writer = df.write.option("compression", "zstd")
+    if bucket_by is None:
+        writer.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    writer.format("parquet").bucketBy(buckets, bucket_by).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def utf8(texts: pa.Array) -> pa.Array:
     """Texts as their bytes, without decoding them."""
     return texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())

@@ -8,8 +8,8 @@ bytes. The statistics are frozen.
 
 Every context of every language counts: the counts are a stored Spark table. The rows to be
 judged are stored once, as compressed blocks in parts of some 32 MB of text, with the distinct
-grams of each part. Every gram that is asked for is priced once, joined back to the parts that
-ask for it, and a part's blocks are read one after the other behind its prices.
+grams of each part, in a table bucketed by part. Every gram that is asked for is priced once,
+joined back to the parts that ask for it and shuffled to their buckets; the texts are not shuffled.
 
 The language with the shortest code wins; ties go to the name that sorts first.
 """
@@ -26,9 +26,10 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from broadsheet.llm.common import cut, utf8
+from broadsheet.llm.common import store, utf8
 
 ORDER = 4
 UNKNOWN = "und"
@@ -39,6 +40,8 @@ PREDICTION = "lang_pred string, score double, bits_per_byte double, rejected boo
 PART_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 20
 TREE_ROWS = 200_000
+# The stored parts are dealt over two buckets a task, at most so many.
+BUCKETS = 50_000
 
 _PAD = b"\n" * ORDER
 _BLOCK = 1 << 16
@@ -199,7 +202,7 @@ def judge_languages(
     and however rare its language is. Only orders 0 and 1, at most 65,536 counts a language,
     are held in one place.
     """
-    counted = cut(count_grams(learned, text_col, lang_col).filter(F.col("n") > 0))
+    counted = store(count_grams(learned, text_col, lang_col))
     pairs = counted.groupBy("lang", F.col("gram").bitwiseAND(F.lit(0xFFFF)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
     names = np.array(pairs.column("lang").to_pylist(), object)
     languages = tuple(sorted(set(names.tolist())))
@@ -213,13 +216,10 @@ def judge_languages(
 
     columns = columns or docs.columns
     kept = docs.select(*(f"`{c}`" for c in dict.fromkeys([*columns, text_col])))
-    stored = cut(kept.mapInArrow(_stored(text_col, part_bytes), "task int, chunk int, block binary, grams array<bigint>"))
-    # parts are numbered without gaps where tasks have equally many, and dealt by number
-    tasks = max(1, stored.rdd.getNumPartitions())
-    parts = tasks * (1 + (stored.agg(F.max("chunk")).first()[0] or 0))
-    stored = stored.withColumn("part", F.col("chunk").cast("long") * tasks + F.col("task"))
+    buckets = min(BUCKETS, max(8, 2 * kept.rdd.getNumPartitions()))
+    stored = store(kept.mapInArrow(_stored(text_col, part_bytes), "part long, block binary, grams array<bigint>"), "part", buckets)
 
-    asked = stored.select("part", F.explode("grams").alias("gram"))
+    asked = stored.filter(F.col("grams").isNotNull()).select(F.col("part").alias("to"), F.explode("grams").alias("gram"))
     # grams whose contexts end alike meet: they share all orders but 0 and 1
     meets = max(16, -(-counted.count() // tree_rows))
     ends = F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))), F.lit(meets)).alias("ends")
@@ -239,39 +239,25 @@ def judge_languages(
         packed = pa.Array.from_buffers(pa.binary(width), len(grams), [None, pa.py_buffer(bits.tobytes())]).cast(pa.binary())
         return pa.table({"gram": wanted.column("gram"), "bits": packed})
 
-    blocks = stored.filter(F.col("block").isNotNull()).select("part", "block", F.lit(None).cast("long").alias("gram"), F.lit(None).cast("binary").alias("bits"))
-    if languages:
-        once = asked.select("gram").distinct().select(ends, "gram")
-        prices = counted.select(ends, "lang", "gram", "n").groupBy("ends").cogroup(once.groupBy("ends")).applyInArrow(priced, "gram long, bits binary")
-        blocks = blocks.unionByName(asked.join(prices, "gram").withColumn("block", F.lit(None).cast("binary")))
-    number = F.pmod("part", F.lit(parts)).cast("int")
-    ready = blocks.repartitionById(parts, number).sortWithinPartitions("part", F.col("block").isNotNull(), "gram")
+    once = asked.select("gram").distinct().select(ends, "gram")
+    prices = counted.select(ends, "lang", "gram", "n").groupBy("ends").cogroup(once.groupBy("ends")).applyInArrow(priced, "gram long, bits binary")
+    # the files' sizes say little of the rows that come out of them, so no side is to be broadcast
+    prices = asked.hint("merge").join(prices if languages else prices.limit(0), "gram").select("to", "gram", "bits")
     schema = docs.select(*(f"`{c}`" for c in columns)).schema.add(out, StructType.fromDDL(PREDICTION))
+    empty = to_arrow_schema(schema).empty_table()
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judged(blocks: pa.Table, prices: pa.Table) -> pa.Table:
         languages, _ = shared.value
-        part, held, table = None, [], None
-        for batch in batches:
-            numbers = batch.column("part").to_numpy()
-            bounds = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
-            for low, high in zip(bounds, bounds[1:]):
-                if low == high:
-                    continue
-                if numbers[low] != part:
-                    part, held, table = numbers[low], [], None
-                run = batch.slice(low, high - low)
-                is_block = pc.is_valid(run.column("block"))
-                prices = run.filter(pc.invert(is_block))
-                if len(prices):
-                    held.append((prices.column("gram").to_numpy(), np.frombuffer(b"".join(prices.column("bits").to_pylist()), np.float32)))
-                for block in run.column("block").filter(is_block):
-                    if table is None and languages:
-                        table = _Priced.of(held, len(languages))
-                        held = []
-                    for rows in pa.ipc.open_stream(block.as_buffer()):
-                        yield _with_verdicts(rows, columns, text_col, table, languages, out)
-
-    return ready.mapInArrow(judged, schema)
+        prices = prices.sort_by("gram")
+        bits = np.frombuffer(b"".join(prices.column("bits").to_pylist()), np.float32)
+        table = _Priced.of([(prices.column("gram").to_numpy(), bits)], len(languages)) if languages else None
+        rows = (rows for block in blocks.column("block") for rows in pa.ipc.open_stream(block.as_buffer()))
+        batches = [_with_verdicts(some, columns, text_col, table, languages, out) for some in rows]
+        return pa.Table.from_batches(batches) if batches else empty
+
+    blocks = stored.filter(F.col("block").isNotNull()).select("part", "block")
+    # the blocks stay where they are stored: only prices are shuffled to them
+    return blocks.groupBy("part").cogroup(prices.groupBy("to")).applyInArrow(judged, schema)
 
 
 def _stored(text_col: str, part_bytes: int):
@@ -279,7 +265,8 @@ def _stored(text_col: str, part_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packing = pa.ipc.IpcWriteOptions(compression="zstd")
-        task, chunk, size, seen = TaskContext.get().partitionId(), 0, 0, []
+        # numbers of parts are the task's in the low half, a count of its own in the high one
+        part, size, seen = TaskContext.get().partitionId(), 0, []
         for batch in batches:
             texts = utf8(batch.column(text_col))
             lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -287,15 +274,15 @@ def _stored(text_col: str, part_bytes: int):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, batch.schema, options=packing) as writer:
                     writer.write_batch(batch.slice(low, high - low))
-                yield _stored_row(task, chunk, sink.getvalue().to_pybytes(), None)
+                yield _stored_row(part, sink.getvalue().to_pybytes(), None)
                 seen += map(np.unique, _grams([t.as_py() or b"" for t in texts[low:high]]))
                 size += int(lengths[low:high].sum())
                 if len(seen) > 16:
                     seen = [np.unique(np.concatenate(seen))]
                 if size >= part_bytes:
-                    yield from _gram_rows(task, chunk, seen)
-                    chunk, size, seen = chunk + 1, 0, []
-        yield from _gram_rows(task, chunk, seen)
+                    yield from _gram_rows(part, seen)
+                    part, size, seen = part + (1 << 32), 0, []
+        yield from _gram_rows(part, seen)
 
     return run
 
@@ -310,16 +297,15 @@ def _slices(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         low = high
 
 
-def _gram_rows(task: int, chunk: int, seen: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _gram_rows(part: int, seen: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     grams = np.unique(np.concatenate(seen)).astype(np.int64) if seen else np.empty(0, np.int64)
     for at in range(0, len(grams), _BLOCK):
-        yield _stored_row(task, chunk, None, grams[at : at + _BLOCK])
+        yield _stored_row(part, None, grams[at : at + _BLOCK])
 
 
-def _stored_row(task: int, chunk: int, block: bytes | None, grams: np.ndarray | None) -> pa.RecordBatch:
+def _stored_row(part: int, block: bytes | None, grams: np.ndarray | None) -> pa.RecordBatch:
     listed = pa.array([None], pa.list_(pa.int64())) if grams is None else pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), pa.array(grams))
-    columns = [pa.array([task], pa.int32()), pa.array([chunk], pa.int32()), pa.array([block], pa.binary()), listed]
-    return pa.RecordBatch.from_arrays(columns, ["task", "chunk", "block", "grams"])
+    return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([block], pa.binary()), listed], ["part", "block", "grams"])
 
 
 def _with_verdicts(
