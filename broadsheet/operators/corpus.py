@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from broadsheet.functions.text import corpus_clean
+from pyspark.sql import types as T
 
 # The purely alphabetic English stop words of Spark's own
 # StopWordsRemover. Pass another list to use another library's.
@@ -23,6 +26,13 @@ not only own same so than too very s t can will just don should now could would
 cannot ought
 """.split()
 
+# UTF-8 of what lower-cases to an ASCII letter, and of white space beyond ASCII (as Python counts it).
+_TO_ASCII = {"\u0130": b"i", "\u212a": b"k"} | dict.fromkeys("\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))), b" ")
+_TO_ASCII = [(char.encode(), plain) for char, plain in _TO_ASCII.items()]
+_SPACE = b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
+_LOWER = bytes.maketrans(string.ascii_uppercase.encode() + _SPACE, string.ascii_lowercase.encode() + b" " * len(_SPACE))
+_DROPPED = bytes(set(range(256)) - set(string.ascii_letters.encode()) - set(string.digits.encode()) - set(_SPACE))
+
 
 def tokens_of(text: Column | str, stop_words: Iterable[str] = STOP_WORDS) -> Column:
     """Purely alphabetic words of a cleaned text, stop words left out, in order."""
@@ -31,9 +41,36 @@ def tokens_of(text: Column | str, stop_words: Iterable[str] = STOP_WORDS) -> Col
     return F.filter(words, lambda w: w.rlike("^[a-z]+$") & ~w.isin(stop))
 
 
+def clean_tokens(text: Column | str, stop_words: Iterable[str] = STOP_WORDS) -> Column:
+    """``tokens_of(corpus_clean(text))`` in one pass over the text's bytes; a null text gives null."""
+    stop = pa.array(sorted(set(stop_words)), pa.string())
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(texts: pa.Array) -> pa.Array:
+        cleaned = pa.array([_cleaned(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+        pieces = pc.split_pattern(cleaned.cast(pa.string()), " ")
+        words = pieces.flatten()
+        kept = pc.and_(pc.ascii_is_alpha(words), pc.invert(pc.is_in(words, stop)))
+        before = np.concatenate(([0], np.cumsum(kept.to_numpy(zero_copy_only=False), dtype=np.int32))).astype(np.int32)
+        ends = before[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()]
+        return pa.ListArray.from_arrays(pa.array(ends), words.filter(kept), mask=texts.is_null())
+
+    return run(text)
+
+
+def _cleaned(text: bytes | None) -> bytes:
+    """Lower-case ASCII letters, digits and single-byte spaces of a UTF-8 text; runs of spaces stay."""
+    if text is None:
+        return b""
+    if not text.isascii():
+        for char, plain in _TO_ASCII:
+            text = text.replace(char, plain)
+    return text.translate(_LOWER, _DROPPED)
+
+
 def corpus_tokens(df: DataFrame, stop_words: Iterable[str] = STOP_WORDS, lemma: DataFrame | None = None) -> DataFrame:
     """Clean ``text`` and add its ``tokens``; with a lemma table, as base forms."""
-    tokens = df.withColumn("tokens", tokens_of(corpus_clean("text"), stop_words))
+    tokens = df.withColumn("tokens", clean_tokens("text", stop_words))
     return tokens if lemma is None else lemmatize(tokens, lemma)
 
 

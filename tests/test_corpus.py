@@ -7,8 +7,9 @@ import pytest
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
+from broadsheet.functions import corpus_clean
 from broadsheet.operators import tfidf as weights
-from broadsheet.operators.corpus import STOP_WORDS, corpus_tokens, lemmatize, processed_text
+from broadsheet.operators.corpus import STOP_WORDS, clean_tokens, corpus_tokens, lemmatize, processed_text, tokens_of
 from broadsheet.operators.tfidf import doc_terms, fit_vocab, term_stats, tfidf
 from broadsheet.plans import stages
 from broadsheet.sources import labelled_corpus, load_vocab
@@ -175,3 +176,26 @@ def test_lemmas_need_no_ids(spark):
         "e": (None, None), "f": (3, []), "g": (4, ["sit"]),
     }
     assert got.count() == len(rows) and lemmatize(df.limit(0), lemma).count() == 0
+
+
+def test_tokens_in_one_pass_are_those_of_the_expressions(spark):
+    spaces = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+    texts = [None, "", " ", "x".join(spaces), "İstanbul Kelvin KELVIN ﬁx café ​zero​width", "a1 1a b_c d\x00e \x7f\x1bend", "The THE thé", "😀ab😀 Ābc"]
+    texts += [f"{a}{chr(c)}{b}" for c in [*range(1, 0x250), *range(0x1E00, 0x2200), *range(0x3000, 0x3010), 0xFEFF] for a, b in [("ab", "cd")]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    got = df.select("doc_id", clean_tokens("text").alias("one"), tokens_of(corpus_clean("text")).alias("two")).collect()
+    assert len(got) == len(texts) and all(r.one == r.two for r in got)
+    plan = corpus_tokens(df)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+
+
+def test_terms_of_null_lists_and_null_tokens(spark):
+    rows = [(1, ["aa", None, "aa", "é", "éé"]), (None, None), (1, ["aa"]), (None, []), (None, ["zz", "zz"])]
+    df = spark.createDataFrame(rows, "doc_id int, tokens array<string>")
+    assert sorted(map(tuple, doc_terms(df).collect()), key=repr) == sorted([(1, "aa", 2), (1, "éé", 1), (1, "aa", 1), (None, "zz", 2)], key=repr)
+    assert doc_terms(df.limit(0)).count() == 0 and doc_terms(df.filter("tokens IS NULL")).count() == 0
+
+
+def test_vocabulary_counts_the_terms_once(spark):
+    plan = fit_vocab(tokens_frame(spark, [["aa", "bb"]]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 1
