@@ -7,8 +7,12 @@ weights shuffle numbers of vocabulary terms only.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A vocabulary of at most so many terms is picked in one task.
 ONE_TASK_TERMS = 1_000_000
@@ -16,23 +20,23 @@ _PREFIX = 3
 
 
 def doc_terms(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, term, tf) of terms of two letters or more.
+    """(id, term, tf) of terms of two letters or more, each row's by itself."""
+    return tokens.select(id_col, F.inline(_counted("tokens")))
 
-    Sort the tokens, keep where a run starts; a run ends where the next begins.
-    """
-    words = tokens.select(id_col, F.sort_array(F.filter("tokens", lambda t: F.length(t) >= 2)).alias("_words"))
-    places = F.transform("_words", lambda _, i: i)
-    starts = words.withColumn(
-        "_starts", F.filter(places, lambda i: (i == 0) | (F.get("_words", i) != F.get("_words", i - 1)))
-    )
-    runs = F.transform(
-        "_starts",
-        lambda at, k: F.struct(
-            F.get("_words", at).alias("term"),
-            (F.coalesce(F.get("_starts", k + 1), F.size("_words")) - at).cast("bigint").alias("tf"),
-        ),
-    )
-    return starts.select(id_col, F.inline(runs))
+
+@F.arrow_udf(T.ArrayType(T.StructType().add("term", "string").add("tf", "long")))
+def _counted(lists: pa.Array) -> pa.Array:
+    """The distinct terms of each list and how often it has them; a batch of lists is counted at once."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    words = lists.flatten()
+    long = pc.fill_null(pc.greater_equal(pc.utf8_length(words), 2), False)
+    rows = np.repeat(np.arange(len(lists)), sizes)[long.to_numpy(zero_copy_only=False)]
+    coded = words.filter(long).dictionary_encode()
+    n_terms = max(1, len(coded.dictionary))
+    cells, tf = np.unique(rows * n_terms + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    ends = np.searchsorted(cells, np.arange(len(lists) + 1) * n_terms).astype(np.int32)
+    counted = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(cells % n_terms)), pa.array(tf, pa.int64())], ["term", "tf"])
+    return pa.ListArray.from_arrays(pa.array(ends), counted)
 
 
 def term_stats(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -50,8 +54,13 @@ def fit_vocab(tokens: DataFrame, k: int = 5000, id_col: str = "doc_id") -> DataF
         raise ValueError("vocabulary size must be positive")
     n_docs = tokens.agg(F.count("*")).scalar()
     stats = term_stats(tokens, id_col)
-    top = stats.orderBy(F.desc("tf_total"), "term").limit(k) if k <= ONE_TASK_TERMS else _most_frequent(stats, k)
-    return _ranked(top).select(
+    if k <= ONE_TASK_TERMS:
+        # at most k rows, in one task already: ranked where they are, so that terms are counted once
+        top = stats.orderBy(F.desc("tf_total"), "term").limit(k)
+        ranked = top.withColumn("_rank", F.row_number().over(Window.orderBy("term")).cast("bigint") - 1)
+    else:
+        ranked = _ranked(_most_frequent(stats, k))
+    return ranked.select(
         "term",
         F.col("_rank").alias("term_idx"),
         "df",
