@@ -3,19 +3,22 @@
 Texts equal but for case and white space are one class, so a text that a third of all rows share is
 compared once. Two sets of n shingles with a similarity of ``pct`` percent share at
 least ceil(pct * n / 100) of them. So if all sets are sorted alike, each pair has a shingle in common among the first
-n - ceil(pct * n / 100) + 1 of both: only these are joined. Sorted by rising frequency, they are the rarest
-ones, mostly in one class only, and those end before the join. Candidates whose sizes rule them out
-go next, and what is left is compared on whole sets.
+n - ceil(pct * n / 100) + 1 of both: only these leave the row. Any order will do for that; here frequent shingles come
+last, so far as counts by hash bucket tell. Candidates go whose sizes, or places of the shingle that met, rule
+them out, and what is left is compared on whole sets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The similarity, in percent, and the words of a shingle.
 PERCENT = 85
 WORDS = 3
+# Shingles are counted in so many buckets, which order them; results do not depend on it.
+BUCKETS = 1 << 20
+_BLOCK = 1 << 10
 
 
 def words_of(text: Column | str) -> Column:
@@ -39,7 +42,11 @@ def _classes(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(key, id, n, shingles): one row per text that differs in its words, under its smallest id."""
     normal = F.array_join(words_of(text_col), " ").alias("normal")
     texts = df.select(F.col(id_col).alias("id"), normal).filter(F.col("normal") != "").withColumn("key", _key("normal"))
-    folded = texts.groupBy("key").agg(F.min("id").alias("id"), F.first("normal").alias("normal"))
+    # a test that joins would add to their side only, which then were shuffled by itself
+    texts = texts.filter(F.col("key").isNotNull())
+    # one value, so that every use reads all of it and Spark shuffles the texts once; null ids come last
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "normal")).alias("least")
+    folded = texts.groupBy("key").agg(least).select("key", "least.id", "least.normal")
     # a column of its own: inside the expression the text would be split once for every shingle
     split = folded.select("key", "id", F.split("normal", " ").alias("words"))
     sets = split.select("key", "id", word_shingles("words", size).alias("shingles"))
@@ -47,25 +54,42 @@ def _classes(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
 
 
 def _key(normal: str) -> Column:
-    return F.md5(F.col(normal).cast("binary"))
+    return F.unhex(F.md5(F.col(normal).cast("binary")))
+
+
+def _levels(sets: DataFrame) -> Column:
+    """An array: four times the binary logarithm of how often shingles of each bucket occur, plus one."""
+    met = sets.select(F.explode("shingles").alias("shingle")).select(F.col("shingle").bitwiseAND(BUCKETS - 1).alias("bucket"))
+    every = sets.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket"))
+    counts = met.unionByName(every).groupBy("bucket").agg(F.count("*").alias("n"))
+    level = F.floor(F.log2("n") * 4).cast("tinyint").alias("level")
+    in_order = lambda at, name: F.transform(F.sort_array(F.collect_list(F.struct(at, name))), lambda s: s[name])
+    blocks = counts.select("bucket", level).groupBy(F.floor(F.col("bucket") / _BLOCK).alias("block")).agg(in_order("bucket", "level").alias("levels"))
+    return blocks.agg(F.flatten(in_order("block", "levels"))).scalar()
 
 
 def _prefixes(sets: DataFrame, pct: int) -> DataFrame:
-    """(shingle, key, n): the rarest shingles of each class that others have too, as far as its prefix goes."""
-    posted = sets.select("key", "n", F.explode("shingles").alias("shingle"))
-    counts = posted.groupBy("shingle").agg(F.count("*").alias("in_sets")).filter("in_sets > 1")
-    shared = posted.join(counts, "shingle").groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("in_sets", "shingle"))).alias("ranked"))
-    # shingles of no other class sort first: they fill the prefix, but cannot be met
-    room = F.col("n") - F.floor((F.col("n") * pct + 99) / 100).cast("int") + 1 - (F.col("n") - F.size("ranked"))
-    return shared.filter(room > 0).select("key", "n", F.explode(F.slice("ranked", 1, room)).alias("rare")).select("key", "n", "rare.shingle")
+    """(shingle, key, n, place): the first shingles of each class, as far as its prefix goes, that others post too.
+
+    A shingle is its level and 56 bits of its hash, in this order. Should two of a set be the same, they are posted
+    twice, which loses no pair.
+    """
+    level = lambda s: F.get("levels", s.bitwiseAND(BUCKETS - 1).cast("int")).cast("bigint")
+    ranked = F.sort_array(F.transform("shingles", lambda s: F.shiftleft(level(s), 56).bitwiseOR(F.shiftrightunsigned(s, 8))))
+    room = F.col("n") - F.floor((F.col("n") * pct + 99) / 100).cast("int") + 1
+    posted = sets.withColumn("levels", _levels(sets)).select("key", "n", F.posexplode(F.slice(ranked, 1, room)).alias("place", "shingle"))
+    return posted.withColumn("posts", F.count("*").over(Window.partitionBy("shingle"))).filter("posts > 1").drop("posts")
 
 
 def _class_pairs(sets: DataFrame, pct: int) -> DataFrame:
     """(key_a, key_b, id_a, id_b, n_common, n_all) of similar classes, each pair once."""
     prefixes = _prefixes(sets, pct)
-    one, other = (prefixes.select("shingle", F.col("key").alias(f"key_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    one, other = (prefixes.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "place"))) for x in "ab")
     near = (F.col("n_a") * 100 >= F.col("n_b") * pct) & (F.col("n_b") * 100 >= F.col("n_a") * pct)
-    met = one.join(other, "shingle").filter((F.col("key_a") < F.col("key_b")) & near).select("key_a", "key_b").distinct()
+    # behind the first shingle that two sets share there must be room for the others
+    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    room = most * (100 + pct) >= (F.col("n_a") + F.col("n_b")) * pct
+    met = one.join(other, "shingle").filter((F.col("key_a") < F.col("key_b")) & near & room).select("key_a", "key_b").distinct()
     for x in "ab":
         met = met.join(sets.select(F.col("key").alias(f"key_{x}"), F.col("id").alias(f"id_{x}"), F.col("shingles").alias(f"set_{x}")), f"key_{x}")
     common = F.size(F.array_intersect("set_a", "set_b"))

@@ -95,6 +95,25 @@ def test_prefix_leaves_out_what_no_other_text_has(spark):
     assert near_dups._prefixes(sets, 85).count() == 0
 
 
+@pytest.mark.parametrize("buckets", [1, 8, 1 << 14])
+def test_buckets_only_order_the_shingles(spark, crowd, monkeypatch, buckets):
+    monkeypatch.setattr(near_dups, "BUCKETS", buckets)
+    df = frame(spark, crowd)
+    assert sorted(map(tuple, near_dups.near_dup_pairs(df).collect())) == plain_pairs(crowd)
+
+
+def test_only_prefixes_leave_the_row_and_texts_are_shuffled_once(spark):
+    rows = [(i, " ".join(f"w{(i + k) % 90}" for k in range(60))) for i in range(50)]
+    df = frame(spark, rows)
+    prefixes = near_dups._prefixes(near_dups._classes(df, "doc_id", "body", 3), 85)
+    assert "Join" not in prefixes._jdf.queryExecution().optimizedPlan().toString()
+    assert prefixes.groupBy("key").count().agg({"count": "max"}).first()[0] <= 58 - 50 + 1
+    pairs = near_dups.near_dup_pairs(df)
+    assert sorted(map(tuple, pairs.collect())) == plain_pairs(rows)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange [key" in plan
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 30), min_size=1), st.sets(st.integers(0, 30), min_size=1), st.integers(1, 100))
 def test_prefixes_of_similar_sets_meet(a, b, pct):
