@@ -4,14 +4,18 @@ Texts equal but for case and white space are one class, so a text that a third o
 compared once. Two sets of n shingles with a similarity of ``pct`` percent share at
 least ceil(pct * n / 100) of them. So if all sets are sorted alike, each pair has a shingle in common among the first
 n - ceil(pct * n / 100) + 1 of both: only these leave the row. Any order will do for that; here frequent shingles come
-last, so far as counts by hash bucket tell. Candidates go whose sizes, or places of the shingle that met, rule
-them out, and what is left is compared on whole sets.
+last, so far as counts by hash bucket tell. Candidates go whose sizes, places of the shingle that met, or
+histograms rule them out, and what is left is compared on whole sets.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The similarity, in percent, and the words of a shingle.
 PERCENT = 85
@@ -19,6 +23,8 @@ WORDS = 3
 # Shingles are counted in so many buckets, which order them; results do not depend on it.
 BUCKETS = 1 << 20
 _BLOCK = 1 << 10
+# Hash classes of the histograms that candidates are compared by first; a power of two.
+CELLS = 64
 
 
 def words_of(text: Column | str) -> Column:
@@ -90,6 +96,7 @@ def _class_pairs(sets: DataFrame, pct: int) -> DataFrame:
     most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     room = most * (100 + pct) >= (F.col("n_a") + F.col("n_b")) * pct
     met = one.join(other, "shingle").filter((F.col("key_a") < F.col("key_b")) & near & room).select("key_a", "key_b").distinct()
+    met = _not_far(met, sets, pct)
     for x in "ab":
         met = met.join(sets.select(F.col("key").alias(f"key_{x}"), F.col("id").alias(f"id_{x}"), F.col("shingles").alias(f"set_{x}")), f"key_{x}")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -98,6 +105,30 @@ def _class_pairs(sets: DataFrame, pct: int) -> DataFrame:
     return sized.filter(F.col("n_common") * 100 >= F.col("n_all") * pct).drop("both")
 
 
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _histogram(sets: pa.Array) -> pa.Array:
+    """How many shingles of a set fall into each of ``CELLS`` hash classes; of a batch of sets at once."""
+    rows = np.repeat(np.arange(len(sets)), pc.list_value_length(sets).to_numpy(zero_copy_only=False))
+    cells = rows * CELLS + (sets.flatten().to_numpy(zero_copy_only=False) & (CELLS - 1))
+    counts = pa.array(np.bincount(cells, minlength=len(sets) * CELLS).astype(np.int32))
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * CELLS), counts)
+
+
+def _not_far(met: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """The candidates (key_a, key_b) whose histograms do not rule them out, so that few whole sets travel.
+
+    Histograms differ by at most as many shingles as the sets do, and similar sets by
+    (100 - pct) / (100 + pct) of both sizes.
+    """
+    cells = sets.select("key", _histogram("shingles").alias("cells")).repartition("key")
+    for x in "ab":
+        met = met.join(cells.select(F.col("key").alias(f"key_{x}"), F.col("cells").alias(f"cells_{x}")), f"key_{x}")
+    total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda n, x: n + x)
+    apart = total(F.zip_with("cells_a", "cells_b", lambda x, y: F.abs(x - y).cast("bigint")))
+    both = total(F.concat("cells_a", "cells_b"))
+    return met.filter(apart * (100 + pct) <= both * (100 - pct)).select("key_a", "key_b")
+
+
 def near_dup_pairs(df: DataFrame, pct: int = PERCENT, id_col: str = "doc_id", text_col: str = "body", size: int = WORDS) -> DataFrame:
     """(id_a, id_b, n_common, n_all): similar texts under the smallest id that has each, ``id_a`` the smaller.
 
@@ -128,9 +159,8 @@ def near_dedup(df: DataFrame, pct: int = PERCENT, id_col: str = "doc_id", text_c
     _checked(pct)
     sets = _classes(df, id_col, text_col, size)
     pairs = _class_pairs(sets, pct)
-    met = pairs.select(F.col("key_a").alias("key"), F.col("id_b").alias("other")).unionByName(
-        pairs.select(F.col("key_b").alias("key"), F.col("id_a").alias("other"))
-    )
+    both_ways = F.array(*(F.struct(F.col(f"key_{x}").alias("key"), F.col(f"id_{y}").alias("other")) for x, y in ("ab", "ba")))
+    met = pairs.select(F.inline(both_ways))
     # min ignores nulls: the first of the class itself and of the classes like it
     firsts = sets.select("key", F.col("id").alias("other")).unionByName(met).groupBy("key").agg(F.min("other").alias("_first"))
     key = _key("_normal")

@@ -3,6 +3,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from broadsheet.operators import near_dups
 
@@ -114,6 +115,18 @@ def test_only_prefixes_leave_the_row_and_texts_are_shuffled_once(spark):
     assert "ReusedExchange [key" in plan
 
 
+def test_histograms_rule_out_only_pairs_that_are_not_alike(spark):
+    shared = " ".join(f"s{k}" for k in range(30))
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(170)) + " " + shared) for i in range(6)]
+    rows += [(10 + i, rows[0][1] + " " + " ".join(f"z{i}{k}" for k in range(8 * i))) for i in range(6)]
+    sets = near_dups._classes(frame(spark, rows), "doc_id", "body", 3).select("key", "id", "shingles")
+    every = sets.select(F.col("key").alias("key_a"), F.col("id").alias("i")).crossJoin(sets.select(F.col("key").alias("key_b"), F.col("id").alias("j")))
+    names = every.filter("i < j")
+    left = near_dups._not_far(names.select("key_a", "key_b"), sets, 85).join(names, ["key_a", "key_b"])
+    got = {(r.i, r.j) for r in left.collect()}
+    assert got >= {p[:2] for p in plain_pairs(rows)} and not any(j < 10 or 0 < i < 10 for i, j in got)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 30), min_size=1), st.sets(st.integers(0, 30), min_size=1), st.integers(1, 100))
 def test_prefixes_of_similar_sets_meet(a, b, pct):
