@@ -11,9 +11,11 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -24,10 +26,10 @@ SEQUENCE = 2048
 END_ID = 1
 PIECE = "start long, length long, ids array<int>, ids_crc32 long, doc_tokens long"
 _IDS = "ids array<int>, "
-# Words kept with their ids in a worker, and bytes of text put together at a time.
+# Words kept with their ids in a worker, bytes of text looked up at a time, and new words encoded as one text.
 CACHED_WORDS = 400_000
 _TEXT_BYTES = 4 << 20
-_PART_BYTES = 1 << 15
+_PART_WORDS = 1 << 12
 _LONGEST_FIRST = 64
 
 
@@ -62,51 +64,73 @@ class WordTokenizer:
         self.words: dict[str, int] = {}
         self.firsts: dict[str, np.ndarray] = {}
         self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+        # in how many calls a word was met
+        self.met = np.empty(0, np.int32)
+
+    def _forget(self) -> None:
+        """Drop the words that were met once, and the rarer ones of the rest if they are too many."""
+        words, sizes = list(self.words), np.diff(self.ends)
+        kept = np.argsort(-self.met, kind="stable")[: self.cached_words // 2]
+        kept = np.sort(kept[self.met[kept] > 1])
+        ids = self.ids[_ranges(self.ends[kept], sizes[kept])]
+        self._clear()
+        self.words = {words[i]: n for n, i in enumerate(kept.tolist())}
+        self.ids, self.ends = ids, np.concatenate(([0], np.cumsum(sizes[kept])))
+        self.met = np.ones(len(kept), np.int32)
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_many(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """The ids of each text; none may be null."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return []
         if len(self.words) + len(self.firsts) > self.cached_words:
-            self._clear()
-        split: list[list[str] | None] = []
-        missing: dict[str, None] = {}
-        for text in texts:
-            words = text.split(" ")
-            unknown = set(words[1:]).difference(self.words)
-            # an empty word or white space at its end, which no known word has: a space behind white space
-            if not text or any(a in text for a in self.added) or any(not w or w[-1].isspace() for w in (words[0], *unknown)):
-                split.append(None)
-                continue
-            split.append(words)
-            missing.update(dict.fromkeys(unknown))
-        self._learn(list(missing))
-        return [self.encode(t) if w is None else self._joined(w) for t, w in zip(texts, split)]
-
-    def _joined(self, words: list[str]) -> np.ndarray:
-        first = self.firsts.get(words[0])
-        if first is None:
-            first = self.encode(words[0])
-            if len(words[0]) <= _LONGEST_FIRST:
-                self.firsts[words[0]] = first
-        if len(words) == 1:
-            return first
-        number = np.fromiter(map(self.words.__getitem__, words[1:]), np.int64, len(words) - 1)
-        starts, sizes = self.ends[number], self.ends[number + 1] - self.ends[number]
-        behind = np.cumsum(sizes)
-        where = np.arange(behind[-1]) + np.repeat(starts - behind + sizes, sizes)
-        return np.concatenate((first, self.ids[where]))
+            self._forget()
+        split = pc.split_pattern(texts, " ")
+        ends = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        word, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.words.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(number < 0)
+        # an empty word or white space at its end, which no known word has: a space behind white space
+        spaced = np.zeros(len(distinct), bool)
+        spaced[unknown] = [not distinct[i] or distinct[i][-1].isspace() for i in unknown.tolist()]
+        whole = np.logical_or.reduceat(spaced[word], ends[:-1])
+        for name in self.added:
+            whole |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        behind = np.repeat(~whole, np.diff(ends))
+        behind[ends[:-1]] = False
+        needed = np.zeros(len(distinct), bool)
+        needed[word[behind]] = True
+        missing = np.flatnonzero(needed & (number < 0))
+        number[missing] = len(self.words) + np.arange(len(missing))
+        self._learn([distinct[i] for i in missing.tolist()])
+        self.met[number[needed]] += 1
+
+        # ids of all words behind a first one, text after text
+        own = number[word[behind]]
+        sizes = self.ends[own + 1] - self.ends[own]
+        ids = self.ids[_ranges(self.ends[own], sizes)]
+        upto = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(behind)))[ends]].tolist()
+        firsts = word[ends[:-1]].tolist()
+        return [
+            self.encode(texts[i].as_py()) if whole[i] else np.concatenate((self._first(distinct[firsts[i]]), ids[upto[i] : upto[i + 1]]))
+            for i in range(len(texts))
+        ]
+
+    def _first(self, word: str) -> np.ndarray:
+        found = self.firsts.get(word)
+        if found is None:
+            found = self.encode(word)
+            if len(word) <= _LONGEST_FIRST:
+                self.firsts[word] = found
+        return found
 
     def _learn(self, words: list[str]) -> None:
         """Encode words, each behind a space, many in one text; a new word's first id opens with a space."""
-        parts, size = [[]], 0
-        for word in words:
-            parts[-1].append(word)
-            size += len(word) + 1
-            if size > _PART_BYTES:
-                parts.append([])
-                size = 0
-        parts = [p for p in parts if p]
+        parts = [words[at : at + _PART_WORDS] for at in range(0, len(words), _PART_WORDS)]
         found = self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in parts], add_special_tokens=False)
         ids, ends = [self.ids], [self.ends]
         last = int(self.ends[-1])
@@ -121,6 +145,13 @@ class WordTokenizer:
         known = len(self.words)
         self.words.update(zip(words, range(known, known + len(words))))
         self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+        self.met = np.append(self.met, np.zeros(len(words), np.int32))
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``starts[i]``, ``starts[i] + 1`` and so on, ``sizes[i]`` of them, for each ``i`` in turn."""
+    behind = np.cumsum(sizes)
+    return np.arange(behind[-1] if len(behind) else 0) + np.repeat(starts - behind + sizes, sizes)
 
 
 @lru_cache(maxsize=1)
@@ -170,18 +201,23 @@ def pack_power_of_two(
     )
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Texts in slices of bounded size: (number of the first, texts)."""
-    first, held, size = 0, [], 0
-    for i, text in enumerate(utf8(texts)):
-        data = text.as_py() or b""
-        held.append(data.decode("utf-8", "replace"))
-        size += len(data)
-        if size > _TEXT_BYTES:
-            yield first, held
-            first, held, size = i + 1, [], 0
-    if held:
-        yield first, held
+def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Texts in slices of bounded size: (number of the first, texts). A null text is empty, bytes that are no UTF-8 are replaced."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    first, size = 0, 0
+    for i, n in enumerate(sizes.tolist(), 1):
+        size += n
+        if size > _TEXT_BYTES or i == len(sizes):
+            yield first, _valid(texts.slice(first, i - first))
+            first, size = i, 0
+
+
+def _valid(texts: pa.Array) -> pa.Array:
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:
+        texts = pa.array([(t.as_py() or b"").decode("utf-8", "replace") for t in utf8(texts)], texts.type)
+    return pc.fill_null(texts, "")
 
 
 def _pieces(ids: pa.Array, at: int, encoded: list[np.ndarray], sequence: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -62,6 +63,27 @@ def test_names_of_added_tokens_are_those_tokens(spark):
     check(packing.pack_power_of_two(docs, tokenizer_path()).collect(), dict(enumerate(texts)), unchanged)
 
 
+def test_common_words_stay_known_when_rare_ones_are_dropped(plain):
+    encoder, learned = packing.WordTokenizer(tokenizer_path(), cached_words=40), []
+    learn = encoder._learn
+    encoder._learn = lambda words: (learned.extend(words), learn(words))
+    for call in range(8):
+        texts = [f"In {call} common words " + " ".join(f"rare{call}x{i}" for i in range(30)), "of common  space", "two common words"]
+        assert [x.tolist() for x in encoder.encode_many(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encoder.words) <= 40 + 33
+    assert learned.count("common") == learned.count("words") == 1
+
+
+def test_slices_hold_whole_texts(monkeypatch):
+    monkeypatch.setattr(packing, "_TEXT_BYTES", 5)
+    texts = pa.array(["abc", None, "déf", "", "0123456789", "x"])
+    got = [(at, some.to_pylist()) for at, some in packing._slices(texts)]
+    assert got == [(0, ["abc", "", "déf"]), (3, ["", "0123456789"]), (5, ["x"])]
+    broken = pa.Array.from_buffers(pa.string(), 1, pa.array([b"a\xffb"], pa.binary()).buffers())
+    assert [some.to_pylist() for _, some in packing._slices(broken)] == [["a\ufffdb"]]
+    assert list(packing._slices(pa.array([], pa.string()))) == []
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, no_docs, plain, tmp_path):
     pieces = packing.pack_power_of_two(odd_docs, tokenizer_path())
     rows = pieces.collect()
