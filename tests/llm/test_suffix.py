@@ -87,6 +87,49 @@ def test_long_texts_are_read_in_parts(monkeypatch):
     assert sum(b - a + 1 for _, _, a, b in parts.T.tolist()) == sum(b - a + 1 for _, _, a, b in whole.T.tolist()) == 5000 - 49
 
 
+def test_texts_that_share_a_short_string_send_nothing():
+    rng = random.Random(11)
+    some = lambda n: bytes(rng.choice(b"abcdefghij ") for _ in range(n))
+    common = some(90)
+    grams = [set(np.concatenate(suffix_dedup.minimizers(some(300) + common + some(300), 400, suffix_dedup.GRAM), axis=1)[0].tolist()) for _ in range(50)]
+    assert len(set().union(*grams)) == sum(map(len, grams))
+
+
+def test_bytes_are_sent_only_for_stretches_that_may_share_a_part(spark):
+    rows = [
+        *((t, t, 1, 10, 3, 5, 9) for t in (1, 2, 3)),  # equal in three texts
+        *((t, t, 2, 10, 3, 50, 59) for t in (1, 2, 3)),  # the same beside an unlike one
+        (4, 4, 2, 11, 3, 70, 78),
+        (1, 1, 3, 10, 0, 90, 91),  # alone
+        (5, 5, 4, 10, 0, 0, 9),  # copies of one text
+        (5, 5, 4, 10, 0, 0, 9),
+        (6, 6, 5, 10, 0, 0, 9),  # twice in one text
+        (6, 6, 5, 10, 0, 500, 509),
+    ]
+    places = spark.createDataFrame(rows, "key_a long, key_b long, gram long, stretch long, distance int, first int, last int")
+    got = sorted((r.gram, r.key_a, r.first, r.whole, r.sent, r.places) for r in suffix_dedup.shared_stretches(places).collect())
+    assert got == [
+        *((1, t, 5, True, False, 0) for t in (1, 2, 3)),
+        *((2, t, 50, True, t == 1, 2) for t in (1, 2, 3)),
+        (2, 4, 70, False, True, 2),
+        (5, 6, 0, True, False, 0),
+        (5, 6, 500, True, False, 0),
+    ]
+
+
+def test_equals_brute_force_on_near_copies(spark):
+    rng = random.Random(21)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(900)) for _ in range(3)]
+    texts = []
+    for b in base:
+        for at in (0, 0, 100, 450, 899):  # copies, and copies with one other character
+            texts.append(b if at == 0 else b[:at] + "X" + b[at + 1 :])
+        texts += [b[200:650], "Y" + b[200:601], b[:399], b[300:700] + b[300:700]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert found(suffix_dedup.repeated_spans(docs)) == plain(texts, 400)
+    assert found(suffix_dedup.repeated_spans(docs, cell=1)) == plain(texts, 400)
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     rows = suffix_dedup.repeated_spans(odd_docs).collect()
     assert len(rows) == len(odd_rows)
