@@ -8,6 +8,7 @@ padding; ``bucket`` is its length, and batches are drawn from one bucket.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -156,7 +157,12 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def word_tokenizer(path: str) -> WordTokenizer:
-    """The tokenizer as its file gives it: the name of an added token is that token."""
+    """The tokenizer as its file gives it: the name of an added token is that token.
+
+    A task has one core, so words are encoded in its own thread: threads of the tokenizer's
+    own make it no faster and each holds on to memory as long as the worker lives.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return WordTokenizer(path, encode_special_tokens=False)
 
 
@@ -181,9 +187,13 @@ def pack_power_of_two(
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
-        for batch in batches:
-            for at, texts in _slices(batch.column("text")):
-                yield from _pieces(batch.column("id"), at, encoder.encode_many(texts), sequence, end_id, with_ids)
+        try:
+            for batch in batches:
+                for at, texts in _slices(batch.column("text")):
+                    yield from _pieces(batch.column("id"), at, encoder.encode_many(texts), sequence, end_id, with_ids)
+        finally:
+            # the worker lives on, beside those of later stages
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import cut, fresh, utf8, word_blocks
+from broadsheet.llm.common import cut, fresh, store, utf8, word_blocks
 from broadsheet.llm.components import connected_components
 
 SHINGLE = 3
@@ -257,11 +257,12 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` with one row per component: that of the smallest id.
 
-    Of repeated ids or rows one stays, the one whose text hashes lowest. Each map
-    task sends one row per fingerprint, however many copies it has read.
+    Of repeated ids or rows one stays, the one whose text hashes lowest. The rows are
+    stored with their fingerprints, which are computed once, so the pass that picks rows needs no
+    Python. Each map task of it sends one row per fingerprint, however many copies it has read.
     """
     fp, rank = fresh(docs, "fp", "fp_rank")
-    marked = docs.withColumn(fp, fingerprint(text_col, shingle))
+    marked = store(docs.withColumn(fp, fingerprint(text_col, shingle)))
     light = cut(marked.select(F.col(id_col).alias("id"), F.col(fp).alias("fp")))
     kept = fingerprint_groups(light, "id", max_distance, depth, cell).filter("kept").select(F.col("fp").alias(fp))
     order = F.row_number().over(Window.partitionBy(fp).orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(text_col)))

@@ -1,5 +1,9 @@
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +78,23 @@ def test_common_words_stay_known_when_rare_ones_are_dropped(plain):
     assert learned.count("common") == learned.count("words") == 1
 
 
+def test_words_are_encoded_in_the_task_s_own_thread():
+    code = """
+import os
+from broadsheet.llm import packing
+from broadsheet.llm.queries import tokenizer_path
+
+encoder = packing.word_tokenizer(tokenizer_path())
+before = set(os.listdir("/proc/self/task"))
+encoder.encode_many([" ".join(f"w{i}" for i in range(20_000))])
+print("threads", len(set(os.listdir("/proc/self/task")) - before))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    root = Path(__file__).resolve().parents[2]
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, env=env | {"PYTHONPATH": str(root)}, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == ["threads", "0"]
+
+
 def test_slices_hold_whole_texts(monkeypatch):
     monkeypatch.setattr(packing, "_TEXT_BYTES", 5)
     texts = pa.array(["abc", None, "déf", "", "0123456789", "x"])

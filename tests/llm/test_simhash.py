@@ -94,6 +94,12 @@ def test_one_document_of_a_group_stays(spark, odd_docs, no_docs):
     assert simhash.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_rows_are_picked_without_a_second_pass_in_python(spark, odd_docs):
+    kept = simhash.drop_near_duplicates(odd_docs)
+    assert "ArrowEvalPython" in odd_docs.select(simhash.fingerprint("text"))._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in kept._jdf.queryExecution().toString()
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 260)] + [(7, 7)]
