@@ -2,22 +2,27 @@
 
 1. A text's set is its distinct shingles, its signature the least value of each of ``coordinates`` hash functions.
    Equal texts are one text from here on.
-2. Texts are posted under (coordinate, value). Two signatures that agree in ``matches`` of k coordinates
-   agree in one of the first k - matches + 1, so only that prefix is posted. The
-   texts of a posting, in the order of their sets' sizes, are compared over all coordinates; a pair is skipped if
-   the sizes alone rule it out, if too few coordinates are left to reach the bound, or if both texts are linked already. A posting gives a
+2. Texts are posted under pairs of (coordinate, value). The coordinates are dealt over matches - 1 groups: two
+   signatures that agree in ``matches`` of them agree in two of one group, so only the pairs inside a group are posted.
+   Only postings that two texts share go on. Their
+   texts, in the order of their sets' sizes, are compared; a pair is skipped if the sizes alone rule it out, if both texts are linked already,
+   if the parities of the shingles in 64 buckets differ too often for sets that alike, or if of ``CHECKED`` coordinates the last
+   bits or the last bytes agree too seldom. A posting gives a
    spanning forest, and one that many texts share is dealt over cells of bounded size.
 3. The forests' components are candidate clusters: every pair above the bound lies inside one. The
    texts of a cluster, no others, are read again and compared on whole sets, by an index of their
    shingles. A large cluster is dealt over blocks that share some of its texts as pivots; what the
    pivots leave apart is then compared with the whole cluster, block by block.
 
-Pairs at similarity 0.8 agree in fewer than 6 of 20 coordinates in 2 of 10 million cases. Links are exact.
+Pairs at similarity 0.8 agree in fewer than 6 of 20 coordinates in 2 of 10 million cases, and each of the tests on all coordinates
+loses 1 of 100 million; the parities lose none. Links are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,9 @@ SHINGLE = 2
 PERCENT = 80
 COORDINATES = 20
 MATCHES = 6
+# Coordinates that candidates are tested on, the posted ones among them, and the share of links that a test may lose.
+CHECKED = 64
+LOST = 1e-8
 
 # Texts of a posting's cell, shingles of a cluster's block, and texts that all blocks of a cluster share.
 CELL = 2048
@@ -87,20 +95,35 @@ def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     return np.array([((shingles * f) >> shift).min() for f in factors], np.uint32)
 
 
+def parities(shingles: np.ndarray) -> int:
+    """Whether the number of shingles is odd, for 64 buckets of shingles; sets differ in no fewer shingles than bits."""
+    return int(np.bitwise_xor.reduce(np.uint64(1) << (shingles & np.uint64(63))).view(np.int64))
+
+
+def least_agreeing(n: int, chance: float) -> int:
+    """The most that ``n`` coordinates of one ``chance`` reach in all but ``LOST`` of cases."""
+    lost, m = (1 - chance) ** n, 0
+    while lost <= LOST and m < n:
+        m += 1
+        lost += comb(n, m) * chance**m * (1 - chance) ** (n - m)
+    return m
+
+
 def _signatures(shingle: int, coordinates: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sizes, values, short = [], [], []
+            sizes, values, short, odd = [], [], [], []
             for text in utf8(batch.column("text")):
                 found = shingle_set(text.as_py(), shingle, hashes)
                 sizes.append(len(found))
-                own = signature(found, coordinates) if len(found) else np.empty(0, np.uint32)
-                values.append(own.view(np.int32))
-                short.append((own & 255).astype(np.uint8).tobytes())
-            columns = [pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int32())), pa.array(short, pa.binary())]
+                own = signature(found, max(coordinates, CHECKED)) if len(found) else np.empty(0, np.uint32)
+                values.append(own[:coordinates].view(np.int32))
+                short.append((own[:CHECKED] & 255).astype(np.uint8).tobytes())
+                odd.append(parities(found))
+            columns = [pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int32())), pa.array(short, pa.binary()), pa.array(odd, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("id", *_KEY)), *columns], ["id", *_KEY, "n_shingles", "sig", "short"]
+                [*(batch.column(c) for c in ("id", *_KEY)), *columns], ["id", *_KEY, "n_shingles", "sig", "short", "odd"]
             )
 
     return run
@@ -109,30 +132,38 @@ def _signatures(shingle: int, coordinates: int) -> Callable:
 # -- candidates -------------------------------------------------------------
 
 
+def posted_coordinates(coordinates: int, matches: int) -> list[tuple[int, ...]]:
+    """Runs of coordinates, of which signatures that agree in ``matches`` coordinates agree in one."""
+    if matches < 3:
+        return [(i,) for i in range(coordinates - matches + 1)]
+    return [pair for group in np.array_split(np.arange(coordinates), matches - 1) for pair in combinations(group.tolist(), 2)]
+
+
 def candidate_links(signed: DataFrame, coordinates: int, matches: int, percent: int, cell: int = CELL) -> DataFrame:
-    """(u, v) links that connect the ``node``s whose signatures agree in ``matches`` coordinates.
+    """(u, v) links that connect the ``node``s whose signatures agree in ``matches`` coordinates and whose sets may be similar.
 
-    Sets of which one has less than ``percent`` of the other's ``n_shingles`` cannot be similar and are not linked.
+    Sets of which one has less than ``percent`` of the other's ``n_shingles``, or that ``odd`` tells apart, cannot be similar and are not linked.
 
-    ``sig`` holds the values, ``short`` the last byte of each: of two texts, those that agree are
-    counted by it, so chance may add a link but none is lost.
+    ``sig`` holds the values, ``short`` the last byte of each of ``CHECKED`` coordinates: of two texts, those that agree are
+    counted by it, so chance may add a link but only ``LOST`` of them are lost.
     """
-    prefix = coordinates - matches + 1
-    posted = signed.select("node", "n_shingles", "short", F.posexplode(F.slice("sig", 1, prefix)).alias("coordinate", "value"))
-    key = ["coordinate", "value"]
-    sizes = posted.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
+    keys = [F.xxhash64(F.lit(i), *(F.get("sig", F.lit(c)) for c in own)) for i, own in enumerate(posted_coordinates(coordinates, matches))]
+    posted = signed.select("node", F.explode(F.array(*keys)).alias("posting"))
+    sizes = posted.groupBy("posting").agg(F.count("*").alias("n")).filter("n > 1")
     parts = F.ceil(F.col("n") / cell)
     own = F.pmod(F.xxhash64("node"), parts)
     cells = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda j: F.least(own, j) * parts + F.greatest(own, j))
-    dealt = posted.join(sizes, key).select(F.xxhash64(*key).alias("posting"), "node", "n_shingles", "short", F.explode(cells).alias("cell"))
+    shared = posted.join(sizes, "posting").join(signed.select("node", "n_shingles", "short", "odd"), "node")
+    dealt = shared.select("posting", "node", "n_shingles", "short", "odd", F.explode(cells).alias("cell"))
     n = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(n, "posting", "cell").sortWithinPartitions("posting", "cell")
+    enough = least_agreeing(CHECKED, percent / 100)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["posting", "cell"]):
-            node = rows.column("node").to_numpy()
-            short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(node), coordinates)
-            u, v = _forest(rows.column("group").to_numpy(), node, rows.column("n_shingles").to_numpy(), short, matches, percent)
+            group, node, size, odd = (rows.column(c).to_numpy() for c in ("group", "node", "n_shingles", "odd"))
+            short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(node), CHECKED)
+            u, v = _forest(group, node, size, short, enough, percent, odd)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     return dealt.mapInArrow(link, _LINK)
@@ -163,13 +194,19 @@ def _numbered(rows: pa.Table, borders: np.ndarray) -> pa.RecordBatch:
 
 
 def _forest(
-    group: np.ndarray, node: np.ndarray, size: np.ndarray, short: np.ndarray, matches: int, percent: int
+    group: np.ndarray, node: np.ndarray, size: np.ndarray, short: np.ndarray, matches: int, percent: int, odd: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of each group's pairs above the bound; rows are sorted by group."""
+    """A spanning forest of each group's pairs above the bound; rows are sorted by group.
+
+    With ``odd``, the parities of the sets, pairs that they tell apart are left out, and those whose last bits agree too seldom.
+    """
     n, coordinates = short.shape
     # by size, and among equals alike signatures side by side
     order = np.lexsort((short[:, 1], short[:, 0], size, group))
     group, node, size, short = group[order], node[order], size[order], short[order]
+    if odd is not None:
+        odd, last = odd[order].view(np.uint64), np.packbits(short & 1, axis=1).view(np.uint64)
+        unlike = coordinates - least_agreeing(coordinates, (100 + percent) / 200)
     end = np.cumsum(np.bincount(group))[group]
     root, u, v = np.arange(n), [], []
     alive, lag = np.arange(n), 0
@@ -182,6 +219,10 @@ def _forest(
         pair = alive[root[alive] != root[alive + lag]]
         for at in range(0, len(pair), 1 << 17):
             some = pair[at : at + (1 << 17)]
+            if odd is not None:
+                some = some[np.bitwise_count(last[some] ^ last[some + lag]).sum(axis=1) <= unlike]
+                differ = np.bitwise_count(odd[some] ^ odd[some + lag]).astype(np.int64)
+                some = some[(100 + percent) * differ <= (100 - percent) * (size[some] + size[some + lag])]
             half = matches + coordinates >> 1
             same = (short[some, :half] == short[some + lag, :half]).sum(axis=1)
             ok = same + coordinates - half >= matches
@@ -210,10 +251,10 @@ def _find(root: np.ndarray | list, a: int) -> int:
 def components_of(links: DataFrame) -> DataFrame:
     """(node, component) of every node in ``links``; a component is its smallest node.
 
-    Every task first keeps a spanning forest of its own links. A few forests are joined in one task, which spares
+    Every task first keeps a spanning forest of its own links, and what many tasks found counts once. A few forests are joined in one task, which spares
     the rounds that many need; both ways give the same rows.
     """
-    forests = cut(links.mapInArrow(_spanning, _LINK))
+    forests = cut(links.mapInArrow(_spanning, _LINK).distinct())
     if forests.count() > ONE_TASK_LINKS:
         return connected_components(forests)
     return forests.coalesce(1).mapInArrow(_stars, "node long, component long")
@@ -418,12 +459,12 @@ def minhash_components(
         "*", F.xxhash64("text").alias("key_a"), F.xxhash64(F.lit(1), "text").alias("key_b")
     )
     kind = keyed.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, key_a long, key_b long, n_shingles long, sig array<int>, short binary"
+    schema = f"id {kind}, key_a long, key_b long, n_shingles long, sig array<int>, short binary, odd long"
     scan = cut(keyed.mapInArrow(_signatures(shingle, coordinates), schema))
     light = scan.select("id", *_KEY, "n_shingles")
 
     own = scan.filter("n_shingles > 0").groupBy(*_KEY)
-    folded = own.agg(F.min("id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("short").alias("short"))
+    folded = own.agg(F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n_shingles", "sig", "short", "odd")))
     # numbered once: the stored rows keep their numbers
     classes = cut(folded.withColumn("node", F.monotonically_increasing_id()))
 

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -139,3 +140,45 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     assert minhash.minhash_components(no_docs).collect() == []
     with pytest.raises(ValueError, match="matches"):
         minhash.minhash_components(no_docs, matches=0)
+
+
+def test_posted_coordinates_miss_no_agreement():
+    rng = random.Random(3)
+    for coordinates, matches in ((20, 6), (24, 5), (7, 3), (6, 6), (9, 2), (5, 1)):
+        posted = minhash.posted_coordinates(coordinates, matches)
+        assert len(set(posted)) == len(posted)
+        for _ in range(300):
+            agree = set(rng.sample(range(coordinates), matches))
+            assert any(agree.issuperset(own) for own in posted)
+    assert len(minhash.posted_coordinates(20, 6)) == 30
+
+
+def test_tests_of_candidates_lose_no_link():
+    rng = np.random.default_rng(7)
+    for n in (1, 4, 9, 40, 300, 2000):
+        a = rng.integers(0, 1 << 63, n, np.uint64)
+        for common in range(n * 4 // 5, n + 1):
+            b = np.concatenate((a[:common], rng.integers(0, 1 << 63, n - common, np.uint64)))
+            differ = (minhash.parities(a) ^ minhash.parities(b)) & (1 << 64) - 1
+            assert differ.bit_count() <= 2 * (n - common)
+    for chance in (0.6, 0.8, 0.9):
+        m = minhash.least_agreeing(64, chance)
+        below = lambda k: sum(math.comb(64, i) * chance**i * (1 - chance) ** (64 - i) for i in range(k))
+        assert below(m) <= minhash.LOST < below(m + 1)
+    assert minhash.least_agreeing(64, 1.0) == 64
+
+
+def test_texts_that_only_look_alike_are_no_candidates(spark):
+    """Sets with a third in common agree in some coordinates; a cluster of them all would be compared pair by pair."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(5))
+    texts = []
+    for _ in range(30):
+        frame = [word() for _ in range(31)]
+        texts += [frame + [word() for _ in range(30)] for _ in range(20)]
+    texts += [[*t[:60], word()] for t in texts[:25]]
+    docs = spark.createDataFrame([(i, " ".join(t), i, i) for i, t in enumerate(texts)], "id long, text string, key_a long, key_b long")
+    schema = "node long, key_a long, key_b long, n_shingles long, sig array<int>, short binary, odd long"
+    signed = common.cut(docs.mapInArrow(minhash._signatures(2, 20), schema.replace("node", "id"))).withColumnRenamed("id", "node")
+    links = {(min(r), max(r)) for r in minhash.candidate_links(signed, 20, 6, 80).collect()}
+    assert links == {(i, 600 + i) for i in range(25)}
