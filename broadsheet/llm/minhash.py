@@ -8,7 +8,8 @@
    texts, in the order of their sets' sizes, are compared; a pair is skipped if the sizes alone rule it out, if both texts are linked already,
    if the parities of the shingles in 64 buckets differ too often for sets that alike, or if of ``CHECKED`` coordinates the last
    bits or the last bytes agree too seldom. A posting gives a
-   spanning forest, and one that many texts share is dealt over cells of bounded size.
+   spanning forest. One that many texts share is dealt over cells of bounded size; more than a few cells share some of its texts as pivots, and what the pivots
+   leave apart is then compared with the whole posting, cell by cell.
 3. The forests' components are candidate clusters: every pair above the bound lies inside one. The
    texts of a cluster, no others, are read again and compared on whole sets, by an index of their
    shingles. A large cluster is dealt over blocks that share some of its texts as pivots; what the
@@ -27,7 +28,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import cut, utf8, word_blocks
@@ -41,8 +42,9 @@ MATCHES = 6
 CHECKED = 64
 LOST = 1e-8
 
-# Texts of a posting's cell, shingles of a cluster's block, and texts that all blocks of a cluster share.
+# Texts of a posting's cell, cells that meet in pairs, shingles of a cluster's block, and texts that all cells of a posting and all blocks of a cluster share.
 CELL = 2048
+FEW_CELLS = 4
 BLOCK_SHINGLES = 200_000
 PIVOTS = 8
 
@@ -139,7 +141,9 @@ def posted_coordinates(coordinates: int, matches: int) -> list[tuple[int, ...]]:
     return [pair for group in np.array_split(np.arange(coordinates), matches - 1) for pair in combinations(group.tolist(), 2)]
 
 
-def candidate_links(signed: DataFrame, coordinates: int, matches: int, percent: int, cell: int = CELL) -> DataFrame:
+def candidate_links(
+    signed: DataFrame, coordinates: int, matches: int, percent: int, cell: int = CELL, pivots: int = PIVOTS
+) -> DataFrame:
     """(u, v) links that connect the ``node``s whose signatures agree in ``matches`` coordinates and whose sets may be similar.
 
     Sets of which one has less than ``percent`` of the other's ``n_shingles``, or that ``odd`` tells apart, cannot be similar and are not linked.
@@ -150,23 +154,46 @@ def candidate_links(signed: DataFrame, coordinates: int, matches: int, percent:
     keys = [F.xxhash64(F.lit(i), *(F.get("sig", F.lit(c)) for c in own)) for i, own in enumerate(posted_coordinates(coordinates, matches))]
     posted = signed.select("node", F.explode(F.array(*keys)).alias("posting"))
     sizes = posted.groupBy("posting").agg(F.count("*").alias("n")).filter("n > 1")
-    parts = F.ceil(F.col("n") / cell)
-    own = F.pmod(F.xxhash64("node"), parts)
-    cells = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda j: F.least(own, j) * parts + F.greatest(own, j))
-    shared = posted.join(sizes, "posting").join(signed.select("node", "n_shingles", "short", "odd"), "node")
-    dealt = shared.select("posting", "node", "n_shingles", "short", "odd", F.explode(cells).alias("cell"))
+    shared = cut(posted.join(sizes, "posting"))
+    sets = signed.select("node", "n_shingles", "short", "odd")
     n = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(n, "posting", "cell").sortWithinPartitions("posting", "cell")
     enough = least_agreeing(CHECKED, percent / 100)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["posting", "cell"]):
-            group, node, size, odd = (rows.column(c).to_numpy() for c in ("group", "node", "n_shingles", "odd"))
+            group, node, size, odd, label = (rows.column(c).to_numpy() for c in ("group", "node", "n_shingles", "odd", "label"))
             short = np.frombuffer(b"".join(rows.column("short").to_pylist()), np.uint8).reshape(len(node), CHECKED)
-            u, v = _forest(group, node, size, short, enough, percent, odd)
+            u, v = _forest(group, node, size, short, enough, percent, odd, None if np.array_equal(label, node) else label)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return dealt.mapInArrow(link, _LINK)
+    def linked_in(cells: Column, rows: DataFrame) -> DataFrame:
+        dealt = rows.join(sets, "node").select("posting", "node", "label", "n_shingles", "short", "odd", F.explode(cells).alias("cell"))
+        return dealt.repartition(n, "posting", "cell").sortWithinPartitions("posting", "cell").mapInArrow(link, _LINK)
+
+    parts = F.ceil(F.col("n") / cell)
+    own = F.pmod(F.xxhash64("node"), parts)
+    everywhere = F.sequence(F.lit(0).cast("long"), parts - 1)
+    # few cells: each pair of them meets at once
+    paired = F.transform(everywhere, lambda j: F.least(own, j) * parts + F.greatest(own, j))
+    pivot = F.pmod(F.xxhash64("posting", "node"), F.col("n")) < pivots
+    cells = F.when(parts <= FEW_CELLS, paired).when(pivot, everywhere).otherwise(F.array(own))
+    links = linked_in(cells, shared.withColumn("label", F.col("node")))
+    crowded = shared.filter(parts > FEW_CELLS)
+    if crowded.isEmpty():
+        return links
+
+    # what is not in the largest group of its posting meets the whole posting, cell by cell
+    links = cut(links)
+    labelled = crowded.join(components_of(links), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    by_label = labelled.groupBy("posting", "label").agg(F.count("*").alias("size"))
+    main = by_label.groupBy("posting").agg(F.max(F.struct("size", "label")).alias("main"))
+    split = labelled.join(main, "posting").withColumn("columns", F.ceil((F.col("n") - F.col("main.size")) / cell)).filter("columns > 0")
+    column = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("columns"))
+    to_rows = F.transform(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1), lambda j: own * F.col("columns") + j)
+    to_columns = F.transform(everywhere, lambda i: i * F.col("columns") + column)
+    crossed = F.when(F.col("label") == F.col("main.label"), to_rows).otherwise(F.array_union(to_rows, to_columns))
+    split = split.select("posting", "node", "label", crossed.alias("cells"))
+    return links.unionByName(linked_in(F.col("cells"), split))
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.RecordBatch]:
@@ -194,11 +221,13 @@ def _numbered(rows: pa.Table, borders: np.ndarray) -> pa.RecordBatch:
 
 
 def _forest(
-    group: np.ndarray, node: np.ndarray, size: np.ndarray, short: np.ndarray, matches: int, percent: int, odd: np.ndarray | None = None
+    group: np.ndarray, node: np.ndarray, size: np.ndarray, short: np.ndarray, matches: int, percent: int,
+    odd: np.ndarray | None = None, label: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of each group's pairs above the bound; rows are sorted by group.
 
     With ``odd``, the parities of the sets, pairs that they tell apart are left out, and those whose last bits agree too seldom.
+    Rows of one ``label`` are linked already.
     """
     n, coordinates = short.shape
     # by size, and among equals alike signatures side by side
@@ -209,6 +238,9 @@ def _forest(
         unlike = coordinates - least_agreeing(coordinates, (100 + percent) / 200)
     end = np.cumsum(np.bincount(group))[group]
     root, u, v = np.arange(n), [], []
+    if label is not None:
+        first, where = np.unique(np.stack((group, label[order])), axis=1, return_index=True, return_inverse=True)[1:]
+        root = first[where]
     alive, lag = np.arange(n), 0
     while True:
         lag += 1
@@ -468,7 +500,7 @@ def minhash_components(
     # numbered once: the stored rows keep their numbers
     classes = cut(folded.withColumn("node", F.monotonically_increasing_id()))
 
-    clusters = components_of(candidate_links(classes, coordinates, matches, percent, cell))
+    clusters = components_of(candidate_links(classes, coordinates, matches, percent, cell, pivots))
     named = classes.select("node", "n_shingles", *_KEY).join(clusters.withColumnRenamed("component", "cluster"), "node")
     texts = keyed.select(*_KEY, "text").join(named, _KEY).groupBy("node", "cluster", "n_shingles").agg(F.first("text").alias("text"))
     found = components_of(exact_links(cut(texts), shingle, percent, block_shingles, pivots))
